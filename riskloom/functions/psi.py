@@ -19,30 +19,32 @@ MISSING_PREDICTION_SHARE = 1e-5
 ADDED_SCHEDULED = 1e-9
 
 
-def count_bins(value: Column, edges: Column, bins: int, closed: str) -> Column:
-    """Aggregate: array of ``bins`` row counts between consecutive ``edges``.
+def count_bins(value: str, edges: str, bins: int, closed: str) -> Column:
+    """Aggregate: array of ``bins`` row counts between consecutive elements of ``edges``.
 
-    ``closed='right'``   (lo, hi], first match wins, nothing special at the ends
+    ``closed='right'``   (lo, hi], nothing special at the ends
     ``closed='lowest'``  (lo, hi] with the lowest edge included
-    ``closed='left'``    [lo, hi) with the last edge included
+    ``closed='left'``    [lo, hi) with the last edge of the list included
+    ``closed='equal'``   the same for a list of exactly ``bins + 1`` edges, which may be
+                         equal: the last bin then holds everything
     Positions beyond the last edge count 0. The counters are plain longs, so the
     aggregation stays a hash aggregate with map-side partial sums.
     """
     counters = []
-    last = F.size(edges) - 2
     for i in range(bins):
-        lo, hi = F.get(edges, F.lit(i)), F.get(edges, F.lit(i + 1))
+        lo, hi = f"get({edges}, {i})", f"get({edges}, {i + 1})"
         if closed == "right":
-            inside = (value > lo) & (value <= hi)
+            inside = f"{value} > {lo} AND {value} <= {hi}"
         elif closed == "lowest":
-            above = value >= lo if i == 0 else value > lo
-            inside = above & (value <= hi)
+            inside = f"{value} {'>=' if i == 0 else '>'} {lo} AND {value} <= {hi}"
         elif closed == "left":
-            inside = (value >= lo) & ((value < hi) | ((last == i) & (value == hi)))
+            inside = f"{value} >= {lo} AND ({value} < {hi} OR (size({edges}) = {i + 2} AND {value} = {hi}))"
+        elif closed == "equal":
+            inside = f"{value} >= {lo} AND {value} {'<=' if i == bins - 1 else '<'} {hi}"
         else:
             raise ValueError(f"unknown closed={closed!r}")
-        counters.append(F.count_if(inside))
-    return F.array(*counters)
+        counters.append(f"count_if({inside})")
+    return F.expr(f"array({', '.join(counters)})")
 
 
 def total(counts: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.months import as_date
 from riskloom.operators.joins import lookup_join
-from riskloom.operators.ranks import add_running_totals, slice_rows
+from riskloom.operators.ranks import SMALL_GROUP, rank_candidates
 from riskloom.sources.tables import MONTH, select_present
 
 # Columns taken from each feature table and the default windows.
@@ -201,18 +201,19 @@ def stratified_split(
     label: str = "label",
     ratio: float = TRAIN_SHARE,
     seed: int = SPLIT_SEED,
-    rows_per_slice: int = 100_000,
+    small: int = SMALL_GROUP,
 ) -> DataFrame:
     """Exact stratified split: class sizes in train follow the class shares of the data.
 
     Test gets ``ceil((1 - ratio) * rows)`` rows; train places go to the classes in
     proportion, left-over places to the largest remainders. Within a class, rows are
-    taken in hash order up to one boundary hash per class, so no rows are collected or
-    sorted beyond finding that boundary. Rows with equal keys stay on one side.
+    taken in hash order up to one boundary hash per class, so the rows themselves are
+    neither sorted nor shuffled. Rows with equal keys stay on one side.
     """
-    hashed = df.withColumn("_h", split_hash(key, seed))
-    counts = hashed.groupBy(label, "_h").agg(F.count("*").alias("n"))
-    sizes = counts.groupBy(label).agg(F.sum("n").alias("_class"))
+    # 52 bits: exact as a double as well.
+    position = F.conv(F.substring(split_hash(key, seed), 1, 13), 16, 10).cast("bigint")
+    hashed = df.withColumn("_h", position)
+    sizes = hashed.groupBy(label).agg(F.count("*").alias("_class"))
     # One row per class from here on.
     classes = Window.partitionBy()
     total = F.sum("_class").over(classes)
@@ -229,18 +230,12 @@ def stratified_split(
             (F.col("_floor") + F.when(F.col("_rest") <= F.col("_left"), 1).otherwise(0)).alias("_take"),
         )
     )
-    # Only the slice that holds a class's boundary is ordered.
-    before, size = F.col("_n_slice_before"), F.col("_n_slice")
-    sliced = (
-        slice_rows(counts, [label], "_h", ["n"], rows_per_slice)
-        .join(F.broadcast(quota.withColumnRenamed("_take", "take")), label)
-        .where((before < F.col("take")) & (before + size >= F.col("take")))
-    )
+    last = F.col("_take") - 1
     boundary = (
-        add_running_totals(sliced, [label], "_h", ["n"])
-        .where(F.col("n_before") < F.col("take"))
-        .groupBy(label)
-        .agg(F.max("_h").alias("_boundary"))
+        rank_candidates(hashed, [label], "_h", [ratio], small)
+        .join(F.broadcast(quota), label)
+        .where((last >= F.col("before")) & (last < F.col("before") + F.col("copies")))
+        .select(label, F.col("_h").alias("_boundary"))
     )
     out = hashed.join(F.broadcast(boundary), label, "left")
     inside = F.col("_h") <= F.col("_boundary")

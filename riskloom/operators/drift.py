@@ -78,7 +78,7 @@ def _feature_counts(
         rows.join(F.broadcast(edges.select("feature", "edges")), "feature")
         .groupBy(*by, "feature")
         .agg(
-            X.count_bins(F.col("value"), F.col("edges"), bins, "right").alias("counts"),
+            X.count_bins("value", "edges", bins, "right").alias("counts"),
             F.count("*").alias("all_rows"),
         )
     )
@@ -279,7 +279,7 @@ def _quantile_comparison(
             rows.join(small, "feature")
             .groupBy(*keys, "feature")
             .agg(
-                X.count_bins(F.col("value"), F.col("edges"), bins, closed).alias(f"{name}_counts"),
+                X.count_bins("value", "edges", bins, closed).alias(f"{name}_counts"),
                 F.count_if(F.col("value").isNull()).alias(f"{name}_nulls"),
             )
         )
@@ -380,24 +380,19 @@ def psi_equal_width(
     edges = F.broadcast(
         span.select("feature", equal_width_edges(F.col("lo"), F.col("hi"), bins).alias("edges"))
     )
-    on_side = lambda side: F.when(F.col("_base") == side, F.col("value"))
-    counted = rows.join(edges, "feature").groupBy("feature").agg(
-        _closed_last(on_side(True), F.col("edges"), bins).alias("ref"),
-        _closed_last(on_side(False), F.col("edges"), bins).alias("cur"),
+    sides = rows.join(edges, "feature").withColumns(
+        {
+            "ref_value": F.when(F.col("_base"), F.col("value")),
+            "cur_value": F.when(~F.col("_base"), F.col("value")),
+        }
+    )
+    counted = sides.groupBy("feature").agg(
+        X.count_bins("ref_value", "edges", bins, "equal").alias("ref"),
+        X.count_bins("cur_value", "edges", bins, "equal").alias("cur"),
     )
     return counted.select("feature", _equal_width_index(F.col("ref"), F.col("cur")).alias("psi"))
 
 
-def _closed_last(value: Column, edges: Column, bins: int) -> Column:
-    """Counts in [lo, hi) bins, the last one closed; a single-valued range fills the last."""
-    counters = []
-    for i in range(bins):
-        lo, hi = F.get(edges, F.lit(i)), F.get(edges, F.lit(i + 1))
-        upper = value <= hi if i == bins - 1 else value < hi
-        counters.append(F.count_if((value >= lo) & upper))
-    return F.array(*counters)
-
-
 def psi_trend(
     base: DataFrame,
     cur: DataFrame,
@@ -448,7 +443,7 @@ def psi_trend(
         scores.join(per_month.select(month, "edges"), month)
         .groupBy(month)
         .agg(
-            _closed_last(F.col("v"), F.col("edges"), bins).alias("cur"),
+            X.count_bins("v", "edges", bins, "equal").alias("cur"),
             F.count("v").alias("count"),
             F.avg("v").alias("mean"),
             F.stddev_pop("v").alias("std"),

@@ -1,9 +1,15 @@
 """Order statistics over whole columns without a single-task sort.
 
-Everything starts from one row per distinct value with a row count, so a value that
-holds a third of all rows is one row here. Those rows are cut into slices of similar
-size, summed per slice, and only ordered inside a slice: a window never sees more than
-one slice of one group.
+Quantiles: a bounded sketch brackets each wanted rank, a second pass counts the rows below
+each bracket, and only the few rows inside a bracket are ordered. Nothing else is shuffled.
+
+Ranks of every value: rows collapse to one per distinct value with a row count, so a value
+that holds a third of all rows is one row here. Those rows are cut into slices, summed per
+slice, and ordered inside a slice only.
+
+In both cases the sketch is evaluated once and its result travels along as columns, so all
+later steps see the same boundaries whatever is recomputed. Groups (``by``) are features,
+models or column pairs: one small row each, which is what the broadcasts below hold.
 """
 
 from __future__ import annotations
@@ -15,9 +21,11 @@ from pyspark.sql import functions as F
 
 MAX_SLICES = 512
 ROWS_PER_SLICE = 100_000
-# Distinct values looked at per slice boundary, and the resolution of the hash filter.
-SAMPLE_PER_SLICE = 16
-HASH_RANGE = 1 << 30
+# Rank error of the sketch is 1 / ACCURACY; a bracket is MARGIN wide on either side.
+ACCURACY = 10_000
+MARGIN = 4 / ACCURACY
+# Groups up to this size are bracketed by their whole range.
+SMALL_GROUP = 10_000
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -25,84 +33,81 @@ def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
 
 
-def slice_rows(
-    df: DataFrame,
-    by: Sequence[str],
-    order: str,
-    sums: Sequence[str],
-    rows_per_slice: int = ROWS_PER_SLICE,
+def rank_candidates(
+    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], small: int = SMALL_GROUP
 ) -> DataFrame:
-    """Add ``_slice`` and, per summed column, ``_<s>_slice_before``, ``_<s>_slice`` and
-    ``_<s>_group`` (total of the earlier slices, of this slice and of the group).
+    """Rows that can hold the ranks around ``probs``: (by..., i, value, copies, before, n).
 
-    ``df`` holds one row per (by, order). Slice boundaries come from a hash-chosen sample
-    of the distinct values, so they are the same on every evaluation and after any task
-    retry. The sample has about ``MAX_SLICES * SAMPLE_PER_SLICE`` values per group at most.
+    ``i`` is the position in ``probs``, ``copies`` the rows with that value, ``before`` the
+    rows of the group with a smaller value and ``n`` the rows of the group.
     """
     by = list(by)
-    sizes = df.groupBy(*by).agg(F.count("*").alias("_rows"))
-    wanted = F.least(F.lit(MAX_SLICES), F.ceil(F.col("_rows") / rows_per_slice))
-    sizes = sizes.withColumn("_slices", wanted.cast("int"))
-    # A number in [0, 1) that depends on the value alone.
-    hashed = F.pmod(F.xxhash64(order), F.lit(HASH_RANGE)).cast("double") / float(HASH_RANGE)
-    sampled = (
-        df.select(*by, order)
-        .join(sizes.where("_slices > 1"), by)
-        .where(hashed * F.col("_rows") < F.col("_slices") * float(SAMPLE_PER_SLICE))
-    )
-    # Group sizes travel as group columns; the sampled values are bounded by the filter.
-    cuts = (
-        sampled.groupBy(*by, "_slices")
-        .agg(F.sort_array(F.collect_list(order)).alias("_sample"))
-        .select(*by, _pick(F.col("_sample"), F.col("_slices")).alias("_cuts"))
-    )
-    in_slice = F.size(F.filter("_cuts", lambda c: c <= F.col(order)))
-    sliced = (
-        df.join(cuts, by, "left")
-        .withColumn("_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(in_slice))
-        .drop("_cuts")
-    )
-    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
-    offsets = (
-        sliced.groupBy(*by, "_slice")
-        .agg(*[F.sum(s).alias(f"_{s}_slice") for s in sums])
-        .select(
-            *by,
-            "_slice",
-            *[f"_{s}_slice" for s in sums],
-            *[
-                F.coalesce(F.sum(f"_{s}_slice").over(earlier), F.lit(0)).alias(f"_{s}_slice_before")
-                for s in sums
-            ],
-            *[F.sum(f"_{s}_slice").over(whole).alias(f"_{s}_group") for s in sums],
-        )
-    )
-    return sliced.join(offsets, [*by, "_slice"])
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
+    ends = [(max(p - MARGIN, 0.0), min(p + MARGIN, 1.0)) for p in probs]
+    inner = sorted({p for pair in ends for p in pair})
+    sketch = rows.groupBy(*by).agg(
+        F.count("*").alias("n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.percentile_approx("_v", inner, ACCURACY).alias("_s"),
+    )
+    # Positions of the bracket ends in the sketch; an end at 0 or 1 is the smallest or
+    # largest value, and so are both ends of a small group.
+    places = range(len(probs))
+
+    def bounds(side: int, end: str) -> Column:
+        picks = [
+            "_min" if pair[side] == 0.0 else "_max" if pair[side] == 1.0
+            else f"if(n <= {small}, {end}, _s[{inner.index(pair[side])}])"
+            for pair in ends
+        ]
+        return F.expr(f"array({', '.join(picks)})")
+
+    brackets = sketch.select(*by, bounds(0, "_min").alias("_los"), bounds(1, "_max").alias("_his"))
+    below = F.expr(f"array({', '.join(f'count_if(_v < _los[{i}])' for i in places)})")
+    known = (
+        rows.join(F.broadcast(brackets), by)
+        .groupBy(*by, "_los", "_his")
+        .agg(F.count("*").alias("n"), below.alias("_below"))
+    )
+    inside = F.filter(
+        F.sequence(F.lit(0), F.lit(len(probs) - 1)),
+        lambda i: (F.col("_v") >= F.get("_los", i)) & (F.col("_v") <= F.get("_his", i)),
+    )
+    held = rows.join(F.broadcast(known), by).select(
+        *by, "_v", "n", "_below", F.explode(inside).alias("i")
+    )
+    counted = held.groupBy(*by, "i", "_v", "n", F.get("_below", "i").alias("_start")).agg(
+        F.count("*").alias("copies")
+    )
+    earlier = Window.partitionBy(*by, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_start") + F.coalesce(F.sum("copies").over(earlier), F.lit(0))
+    return counted.select(*by, "i", F.col("_v").alias(value), "copies", before.alias("before"), "n")
 
 
-def _pick(sample: Column, slices: Column) -> Column:
-    """``slices - 1`` evenly spaced elements of a sorted sample."""
-    step = F.size(sample) / slices
-    picked = F.transform(
-        F.sequence(F.lit(1), slices - 1),
-        lambda i: F.get(sample, F.least((i * step).cast("int"), F.size(sample) - 1)),
-    )
-    return F.array_distinct(picked)
+def exact_quantiles(
+    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], small: int = SMALL_GROUP
+) -> DataFrame:
+    """Exact linearly interpolated quantiles: one row per group with ``quantiles`` (array
+    in the order of ``probs``) and ``n`` (non-null rows)."""
+    by = list(by)
+    position = F.get(F.lit(list(probs)), F.col("i")) * (F.col("n") - 1)
+    placed = rank_candidates(df, by, value, probs, small).withColumn("_p", position)
+    past = F.col("before") + F.col("copies")
 
+    def at(rank: Column) -> Column:
+        """Value at a rank; a rank that no candidate covers is an error."""
+        held = (rank >= F.col("before")) & (rank < past)
+        found = F.max(F.when(held, F.col(value).cast("double")))
+        return F.coalesce(found, F.raise_error(F.lit("rank outside its bracket")).cast("double"))
 
-def add_running_totals(sliced: DataFrame, by: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
-    """Turn the result of :func:`slice_rows` into ``<s>_before`` (total over smaller values)
-    and ``<s>_group`` (total over the group)."""
-    inside = (
-        Window.partitionBy(*by, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ends = placed.groupBy(*by, "n", "i", "_p").agg(
+        at(F.floor("_p")).alias("_lo"), at(F.ceil("_p")).alias("_hi")
     )
-    helpers = [c for c in sliced.columns if c.startswith("_")]
-    out = sliced
-    for s in sums:
-        before = F.coalesce(F.sum(s).over(inside), F.lit(0)) + F.col(f"_{s}_slice_before")
-        out = out.withColumn(f"{s}_before", before).withColumn(f"{s}_group", F.col(f"_{s}_group"))
-    return out.drop(*helpers)
+    mixed = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_p") - F.floor("_p"))
+    # One entry per wanted quantile.
+    ordered = F.sort_array(F.collect_list(F.struct("i", mixed.alias("q"))))
+    return ends.groupBy(*by, "n").agg(ordered.alias("_o")).select(*by, F.col("_o.q").alias("quantiles"), "n")
 
 
 def running_totals(
@@ -112,54 +117,57 @@ def running_totals(
     sums: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    return add_running_totals(slice_rows(df, by, order, sums, rows_per_slice), by, order, sums)
-
-
-def average_ranks(counts: DataFrame, by: Sequence[str], value: str, **options) -> DataFrame:
-    """Rank of each distinct value, ties sharing their mean rank (1-based)."""
-    ranked = running_totals(counts, by, value, ["n"], **options)
-    return ranked.select(*by, value, (F.col("n_before") + (F.col("n") + 1) / 2).alias("rank"))
+    """Add ``<s>_before`` (total over smaller values of ``order``) and ``<s>_group`` (total
+    over the group) for each column in ``sums``. ``df`` holds one row per (by, order)."""
+    by = list(by)
+    probs = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
+    sketch = df.groupBy(*by).agg(
+        F.count("*").alias("_rows"), F.percentile_approx(order, probs, ACCURACY).alias("_s")
+    )
+    # Keep every step-th boundary, so slices of small groups are not tiny.
+    step = F.ceil(F.lit(float(MAX_SLICES)) * rows_per_slice / F.col("_rows")).cast("int")
+    kept = F.filter("_s", lambda _, i: (i + 1) % step == 0)
+    cuts = sketch.select(*by, F.array_distinct(kept).alias("_cuts"))
 
+    def slice_of() -> Column:
+        return F.size(F.filter("_cuts", lambda c: c <= F.col(order))).alias("_slice")
 
-def exact_quantiles(
-    df: DataFrame,
-    by: Sequence[str],
-    value: str,
-    probs: Sequence[float],
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
-    """Exact linearly interpolated quantiles: one row per group with ``quantiles`` (array
-    in the order of ``probs``) and ``n`` (non-null rows).
-
-    Only slices that hold a wanted rank are ordered.
-    """
-    by = list(by)
-    sliced = slice_rows(value_counts(df, by, value), by, value, ["n"], rows_per_slice)
-    last = F.col("_n_group") - 1
-    ranks = F.flatten(
-        F.array(*[F.array(F.floor(F.lit(p) * last), F.ceil(F.lit(p) * last)) for p in probs])
+    per_slice = (
+        df.join(F.broadcast(cuts), by)
+        .select(*by, "_cuts", slice_of(), *sums)
+        .groupBy(*by, "_cuts", "_slice")
+        .agg(*[F.sum(s).alias(s) for s in sums])
+    )
+    # At most MAX_SLICES entries per group.
+    known = per_slice.groupBy(*by, "_cuts").agg(
+        F.collect_list(F.struct("_slice", *sums)).alias("_parts")
     )
-    start, end = F.col("_n_slice_before"), F.col("_n_slice_before") + F.col("_n_slice")
-    wanted = sliced.where(F.exists(ranks, lambda r: (r >= start) & (r < end)))
-    placed = add_running_totals(wanted, by, value, ["n"])
-    first, past, last = F.col("n_before"), F.col("n_before") + F.col("n"), F.col("n_group") - 1
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= first) & (rank < past), F.col(value)))
+    def total(s: str, keep=None) -> Column:
+        parts = F.col("_parts") if keep is None else F.filter("_parts", keep)
+        return F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, p: acc + p[s])
 
-    picked = placed.groupBy(*by).agg(
-        F.max("n_group").alias("n"),
-        *[at(F.floor(F.lit(p) * last)).alias(f"_lo{i}") for i, p in enumerate(probs)],
-        *[at(F.ceil(F.lit(p) * last)).alias(f"_hi{i}") for i, p in enumerate(probs)],
+    rows = df.join(F.broadcast(known), by).select(*df.columns, "_cuts", "_parts", slice_of())
+    placed = rows.select(
+        *df.columns,
+        "_slice",
+        *[total(s, lambda p: p["_slice"] < F.col("_slice")).alias(f"_{s}_start") for s in sums],
+        *[total(s).alias(f"{s}_group") for s in sums],
+    )
+    inside = (
+        Window.partitionBy(*by, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
+    before = [
+        (F.col(f"_{s}_start") + F.coalesce(F.sum(s).over(inside), F.lit(0))).alias(f"{s}_before")
+        for s in sums
+    ]
+    return placed.select(*df.columns, *before, *[f"{s}_group" for s in sums])
 
-    def interpolate(i: int, p: float) -> Column:
-        position = F.lit(p) * (F.col("n") - 1)
-        lo, hi = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
-        return lo + (hi - lo) * (position - F.floor(position))
 
-    values = [interpolate(i, p) for i, p in enumerate(probs)]
-    return picked.select(*by, F.array(*values).alias("quantiles"), "n")
+def average_ranks(counts: DataFrame, by: Sequence[str], value: str, **options) -> DataFrame:
+    """Rank of each distinct value, ties sharing their mean rank (1-based)."""
+    ranked = running_totals(counts, by, value, ["n"], **options)
+    return ranked.select(*by, value, (F.col("n_before") + (F.col("n") + 1) / 2).alias("rank"))
 
 
 def long_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -222,12 +230,15 @@ def spearman(df: DataFrame, cols: Sequence[str], rows_per_slice: int = ROWS_PER_
         .agg(F.count("*").alias("n"))
     )
     pair = ["x_name", "y_name"]
+    # A frequent x makes many cells share a key; each join feeds a new shuffle, so the
+    # adaptive skew join may split such a key.
+    ranked = cells
     for side in ("x", "y"):
         margin = cells.groupBy(*pair, side).agg(F.sum("n").alias("n"))
         ranks = average_ranks(margin, pair, side, rows_per_slice=rows_per_slice)
-        cells = cells.join(ranks.withColumnRenamed("rank", f"{side}_rank"), [*pair, side])
+        ranked = ranked.join(ranks.withColumnRenamed("rank", f"{side}_rank"), [*pair, side])
     n, rx, ry = F.col("n").cast("double"), F.col("x_rank"), F.col("y_rank")
-    moments = cells.groupBy(*pair).agg(
+    moments = ranked.groupBy(*pair).agg(
         F.sum(n).alias("n"),
         F.sum(n * rx * rx).alias("xx"),
         F.sum(n * ry * ry).alias("yy"),

@@ -229,6 +229,25 @@ def order_features(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def monitored(spark: SparkSession, sf: str) -> DataFrame:
+    """Monthly scoring inputs and scores; ``util_rate`` grows with the years."""
+    orders = table(spark, sf, "orders")
+    years = F.year(F.col("o_orderdate").cast("date")) - 1995
+    score = F.col("o_totalprice") / 500000
+    return orders.select(
+        F.col("o_custkey").cast("string").alias("Customer_ID"),
+        month_of("o_orderdate").alias("snapshot_date"),
+        score.alias("score"),
+        (score * ((years + 20) / 20)).alias("util_rate"),
+        (F.col("o_custkey") % 60 + 20).cast("int").alias("age"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+
+
+def monitored_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    return monitored(spark, sf).where(F.col("snapshot_date") < F.lit("1996-01-01").cast("date"))
+
+
 def labels_silver(spark: SparkSession, sf: str, dpd: int = 30, mob: int = 3) -> DataFrame:
     from riskloom.operators.arrears import label_store
 
@@ -488,6 +507,14 @@ SELECT CAST(o_custkey AS VARCHAR) AS "Customer_ID", CAST(date_trunc('month', o_o
   CASE WHEN o_orderkey % 19 <> 0 THEN o_totalprice END AS amount, CAST(o_custkey % 37 AS INTEGER) AS tier,
   CASE WHEN o_orderkey % 23 <> 0 THEN o_orderpriority END AS priority,
   'B' || CAST(o_custkey % 70 AS VARCHAR) AS branch
+FROM orders""",
+    ),
+    "monitored": (
+        (),
+        """
+SELECT CAST(o_custkey AS VARCHAR) AS "Customer_ID", CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date,
+  o_totalprice / 500000 AS score, (o_totalprice / 500000) * ((year(o_orderdate) - 1995 + 20) / 20) AS util_rate,
+  CAST(o_custkey % 60 + 20 AS INTEGER) AS age, o_orderpriority AS priority
 FROM orders""",
     ),
     "label_rows": (
