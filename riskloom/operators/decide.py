@@ -31,6 +31,15 @@ def _by_level(level: Column, green, yellow, red) -> Column:
     )
 
 
+def fixed(c: Column, digits: int) -> Column:
+    """Number as text with ``digits`` decimals; infinite and undefined as inf and nan."""
+    return (
+        F.when(F.isnan(c), "nan")
+        .when(c == float("inf"), "inf")
+        .otherwise(F.format_string(f"%.{digits}f", c))
+    )
+
+
 def grade_psi(df: DataFrame, psi: str = "psi") -> DataFrame:
     return df.withColumns(
         {"psi_grade": X.grade(F.col(psi)), "alert_level": X.alert_level(F.col(psi))}
@@ -40,8 +49,7 @@ def grade_psi(df: DataFrame, psi: str = "psi") -> DataFrame:
 def alert_records(df: DataFrame, psi: str = "psi") -> DataFrame:
     """Alert of each row: level, status, action, message with six decimals, notify flag."""
     level = X.alert_level(F.col(psi))
-    number = F.format_string("%.6f", F.col(psi))
-    text = F.concat(F.lit("PSI="), number)
+    text = F.concat(F.lit("PSI="), fixed(F.col(psi), 6))
     message = _by_level(
         level,
         F.concat(F.lit("Model is running normally. "), text),
@@ -68,7 +76,7 @@ def alert_records_detailed(
     nobody = F.array().cast("array<string>")
     team_list = F.array(*[F.lit(x) for x in team])
     everyone = F.array(*[F.lit(x) for x in [*team, *escalation]])
-    text = F.concat(F.lit("(PSI="), F.format_string("%.4f", F.col(psi)), F.lit(")"))
+    text = F.concat(F.lit("(PSI="), fixed(F.col(psi), 4), F.lit(")"))
     message = _by_level(
         level,
         F.concat(F.lit("OK: PSI stable "), text, F.lit(". No action needed.")),

@@ -410,38 +410,49 @@ def psi_trend(
     scores = cur.select(month, _nan_to_null(cur_col).alias("v")).where(F.col("v").isNotNull())
     reference = base.select(_nan_to_null(base_col).alias("v")).where(F.col("v").isNotNull())
     ends = reference.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-    lo = F.least(F.col("_lo"), ends.getField("lo"))
-    hi = F.greatest(F.col("_hi"), ends.getField("hi"))
     ranges = scores.groupBy(month).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
-    edges = ranges.select(month, equal_width_edges(lo, hi, bins).alias("edges"))
-    every = edges.select(F.explode("edges").alias("e")).distinct()
-    grid = every.agg(F.sort_array(F.collect_list("e")).alias("grid")).scalar()
-    # cell = number of edges at or below the value
+    joint = ranges.select(
+        month,
+        F.least("_lo", ends.getField("lo")).alias("lo"),
+        F.greatest("_hi", ends.getField("hi")).alias("hi"),
+    )
+    edges = joint.select(month, equal_width_edges(F.col("lo"), F.col("hi"), bins).alias("edges"))
+    points = edges.select(month, F.posexplode("edges").alias("i", "e"))
+    grid = points.agg(F.sort_array(F.collect_set("e")).alias("grid")).scalar()
+    # Baseline rows per largest edge that is not above them; rows below all edges drop out
+    # here and come back through the total.
     cells = (
         reference.select(grid.alias("grid"), "v")
-        .select(F.size(F.filter("grid", lambda e: e <= F.col("v"))).alias("cell"))
-        .groupBy("cell")
+        .select(F.array_max(F.filter("grid", lambda e: e <= F.col("v"))).alias("e"))
+        .groupBy("e")
         .agg(F.count("*").alias("n"))
     )
-    known = cells.agg(F.collect_list(F.struct("cell", "n"))).scalar()
-    level = edges.select(month, "edges", grid.alias("grid"), known.alias("cells"))
-
-    def below(edge: Column) -> Column:
-        """Baseline rows smaller than an edge."""
-        place = F.array_position("grid", edge).cast("int")
-        smaller = F.filter("cells", lambda c: c["cell"] < place)
-        return F.aggregate(smaller, F.lit(0).cast("bigint"), lambda acc, c: acc + c["n"])
-
-    whole = F.aggregate("cells", F.lit(0).cast("bigint"), lambda acc, c: acc + c["n"])
-    cuts = F.concat(F.transform(F.slice("edges", 1, bins), below), F.array(whole))
-    steps = F.transform(
-        F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.get(cuts, i + 1) - F.get(cuts, i)
+    # One row per distinct edge (at most 11 per month), so this ordering is small.
+    marks = points.select("e", F.lit(0).cast("bigint").alias("n")).distinct().unionAll(cells)
+    smaller = Window.orderBy(F.col("e").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    ladder = (
+        marks.groupBy("e")
+        .agg(F.sum("n").alias("n"))
+        .select("e", F.coalesce(F.sum("n").over(smaller), F.lit(0)).alias("below"))
     )
+    all_rows = reference.agg(F.count("*")).scalar()
+    cuts = points.join(ladder, "e").groupBy(month).agg(
+        F.sort_array(F.collect_list(F.struct("i", "below"))).alias("cuts"),
+        F.sort_array(F.collect_list(F.struct("i", "e"))).alias("points"),
+    )
+    starts = F.slice("cuts", 1, bins)["below"]
+    ends_at = F.concat(F.slice("cuts", 2, bins - 1)["below"], F.array(F.col("all_rows")))
     # One row per month on this side.
-    per_month = F.broadcast(level.select(month, "edges", steps.alias("ref")))
+    per_month = F.broadcast(
+        cuts.withColumn("all_rows", all_rows).select(
+            month,
+            F.col("points.e").alias("edges"),
+            F.zip_with(ends_at, starts, lambda hi, lo: hi - lo).alias("ref"),
+        )
+    )
     counted = (
-        scores.join(per_month.select(month, "edges"), month)
-        .groupBy(month)
+        scores.join(per_month, month)
+        .groupBy(month, "edges", "ref")
         .agg(
             X.count_bins("v", "edges", bins, "equal").alias("cur"),
             F.count("v").alias("count"),
@@ -449,13 +460,10 @@ def psi_trend(
             F.stddev_pop("v").alias("std"),
         )
     )
-    return counted.join(per_month.select(month, "ref"), month).select(
-        month,
-        _equal_width_index(F.col("ref"), F.col("cur")).alias("psi"),
-        "count",
-        "mean",
-        "std",
-    ).withColumn("status", X.alert_level(F.col("psi")))
+    index = _equal_width_index(F.col("ref"), F.col("cur")).alias("psi")
+    return counted.select(month, index, "count", "mean", "std").withColumn(
+        "status", X.alert_level(F.col("psi"))
+    )
 
 
 # --- records built on the indices ---------------------------------------------------------

@@ -60,6 +60,14 @@ def write_feature_psi(df: DataFrame, path: str) -> None:
     write_table(df, path, partition_by=("model_name", "current_snapshot"))
 
 
+def read_feature_psi(spark: SparkSession, path: str) -> DataFrame:
+    schema = (
+        "baseline_snapshot string, feature string, value_type string, psi double, psi_grade string, "
+        "model_name string, current_snapshot string"
+    )
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_baseline(baseline: DataFrame, path: str) -> None:
     write_table(baseline, path, partition_by=("model_name", "baseline_snapshot"))
 

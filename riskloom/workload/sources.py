@@ -9,6 +9,7 @@ from riskloom.plans.medallion import backfill_layer
 from riskloom.operators.arrears import add_arrears
 from riskloom.session import scratch_dir
 from riskloom.sources import feeds, payloads, tables
+from riskloom.workload import drift as W
 from riskloom.workload import views as V
 from riskloom.workload.registry import query
 
@@ -107,48 +108,75 @@ def _(spark, sf):
     return feeds.predictions_for_month(spark, root, "1998-04")
 
 
-def _payloads(spark, sf):
-    base = V.score_baseline(spark, sf)
-    predictions = D.harmonise_score_name(V.scores(spark, sf), "model_predictions")
-    months = tables.spine_of(predictions)
-    return D.monthly_psi(base, predictions, months, "1996-01-01", ["prediction"])
+@query(
+    "s9_psi_payload",
+    f"""WITH {W.PAYLOAD_CTE}, {W.PAYLOAD_LONG}
+SELECT month, strptime(month, '%Y-%m')::DATE AS month_dt, overall AS overall_psi, feature, psi FROM payload_long""",
+    ["monitored"],
+    ["overall_psi", "psi"],
+)
+def _(spark, sf):
+    path = scratch_dir(spark, "payload")
+    payloads.write_psi_payload(W.payloads(spark, sf), path)
+    return payloads.ok_payloads(payloads.read_psi_payload(spark, path)).orderBy("month")
 
 
-@query("s9_psi_payload")
+@query(
+    "s9_psi_payload_status",
+    f"WITH {W.PAYLOAD_CTE} SELECT month, overall, status FROM payload",
+    ["monitored"],
+    ["overall"],
+)
 def _(spark, sf):
     path = scratch_dir(spark, "payload")
-    payloads.write_psi_payload(_payloads(spark, sf), path)
-    return payloads.ok_payloads(payloads.read_psi_payload(spark, path)).orderBy("month")
+    rows = W.payloads(spark, sf)
+    payloads.write_psi_payload(rows, path)
+    # A second run of some months replaces their documents.
+    payloads.write_psi_payload(rows.where("month >= '2000-01'"), path)
+    return payloads.read_psi_payload(spark, path).select("month", "overall", "status")
 
 
-@query("s10_append_history")
+@query(
+    "s10_append_history",
+    f"""WITH {W.PAYLOAD_CTE}, {W.PAYLOAD_LONG}
+SELECT month, max(overall) AS overall, max(psi) FILTER (feature = 'util_rate') AS util_rate FROM payload_long GROUP BY month""",
+    ["monitored"],
+    ["overall", "util_rate"],
+)
 def _(spark, sf):
     path = scratch_dir(spark, "history")
-    rows = _payloads(spark, sf)
+    rows = W.payloads(spark, sf)
     payloads.append_history(rows, path)
     payloads.append_history(rows.where("month >= '2000-01'"), path)
-    return payloads.read_history(spark, path)
+    history = payloads.read_history(spark, path)
+    detail = F.from_json("detail_json", "map<string, double>")
+    return history.select("month", "overall", F.try_element_at(detail, F.lit("util_rate")).alias("util_rate"))
 
 
-@query("s11_write_feature_psi")
+@query("s11_write_feature_psi", W.FEATURE_PSI, ["order_features"], ["psi"])
 def _(spark, sf):
     path = scratch_dir(spark, "feature-psi")
-    rows = V.order_features(spark, sf)
-    base = D.psi_baseline(rows.where("year(snapshot_date) = 1995"), "credit_model", "1995-12-01")
-    found = D.feature_psi(
-        rows.where("year(snapshot_date) > 1995"), base, "credit_model", "1995-12-01",
-        ["amount", "tier"], ["priority", "branch"],
-    )
+    base = W.baseline(spark, sf)
+    cur = V.order_features(spark, sf).where("snapshot_date >= date'1996-01-01'")
+    found = D.feature_psi(cur, base, "credit_model", "1995-12-01", ["amount", "tier"], W.CATEGORIES)
     payloads.write_feature_psi(found, path)
-    return spark.read.parquet(path)
+    return payloads.read_feature_psi(spark, path)
 
 
-@query("s12_baseline_table")
+@query(
+    "s12_baseline_table",
+    f"""WITH {W.NUMERIC_A}, {W.CATEGORICAL_B}
+SELECT feature, value_type, bin_id, lo, hi, category, p_ref FROM (
+  SELECT feature, 'numeric' AS value_type, CAST(i - 1 AS INTEGER) AS bin_id, lo, hi, CAST(NULL AS VARCHAR) AS category, n / a AS p_ref
+  FROM ref_n JOIN bins USING (feature, i)
+  UNION ALL SELECT feature, 'categorical', NULL, NULL, NULL, category, share FROM cat_ref) AS u""",
+    ["order_features"],
+    ["p_ref"],
+)
 def _(spark, sf):
     path = scratch_dir(spark, "baseline")
-    rows = V.order_features(spark, sf).where("year(snapshot_date) = 1995")
-    payloads.write_baseline(D.psi_baseline(rows, "credit_model", "1995-12-01"), path)
-    return payloads.read_baseline(spark, path, "credit_model", "1995-12-01")
+    payloads.write_baseline(W.baseline(spark, sf), path)
+    return payloads.read_baseline(spark, path, "credit_model", "1995-12-01").drop("model_name", "baseline_snapshot")
 
 
 @query(

@@ -559,6 +559,7 @@ def with_views(body: str, names: Sequence[str]) -> str:
     if not needed:
         return body
     parts = ",\n".join(f"{name} AS ({VIEWS[name][1].strip()})" for name in needed)
-    if body.upper().startswith("WITH "):
-        return f"WITH {parts},\n{body[5:]}"
+    for head in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(head):
+            return f"{head}{parts},\n{body[len(head):]}"
     return f"WITH {parts}\n{body}"
