@@ -66,7 +66,7 @@ INF_TERM = "CASE WHEN {c} = 0 AND {r} = 0 THEN 0 WHEN {c} = 0 OR {r} = 0 THEN 'I
 EXACT_EDGES = f"list_sort(list_distinct(quantile_cont(v, {TENTHS})))"
 SKETCH_EDGES = f"list_concat(['-Infinity'::DOUBLE], quantile_disc(v, {INNER}), ['Infinity'::DOUBLE])"
 SHARE_A = "greatest({n} / {a}, 1e-12)"
-SHARE_C = "{n} / {s}"
+SHARE_C = "COALESCE({n} / NULLIF({s}, 0), 1e-5)"
 SHARE_D = "{n} / ({s} + 1e-9) + 1e-9"
 
 KEYS = ["score", "util_rate", "age"]
