@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import psi as X
@@ -137,11 +137,11 @@ def cooldown(
     than ``days`` days back, in event time.
 
     The rule depends on its own earlier outcomes, so the wanted dates of a model are folded
-    in order. They are reduced to one entry per model and day first: the list grows with
-    the monitoring history of one model, not with data.
+    in order. They are distinct days: the list grows with the monitoring history of one
+    model (a row per month), not with data.
     """
-    wanted = decisions.where("wants_retrain").select(model, F.col(when).alias("_day")).distinct()
-    ordered = wanted.groupBy(model).agg(F.sort_array(F.collect_list("_day")).alias("_days"))
+    wanted = F.collect_set(F.when(F.col("wants_retrain"), F.col(when)))
+    days_wanted = F.sort_array(wanted.over(Window.partitionBy(model)))
     start = F.struct(
         F.lit(None).cast("date").alias("until"), F.array().cast("array<date>").alias("ran")
     )
@@ -155,12 +155,12 @@ def cooldown(
             ),
         ).otherwise(acc)
 
-    ran = ordered.select(model, F.aggregate("_days", start, step, lambda acc: acc["ran"]).alias("_ran"))
-    runs = F.coalesce(F.col("wants_retrain") & F.array_contains("_ran", F.col(when)), F.lit(False))
+    ran = F.aggregate("_days", start, step, lambda acc: acc["ran"])
+    runs = F.coalesce(F.col("wants_retrain") & F.array_contains(ran, F.col(when)), F.lit(False))
     return (
-        decisions.join(ran, model, "left")
+        decisions.withColumn("_days", days_wanted)
         .withColumn("branch", F.when(runs, "retrain_model").otherwise("skip_retrain"))
-        .drop("_ran")
+        .drop("_days")
     )
 
 

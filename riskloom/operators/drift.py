@@ -300,7 +300,8 @@ def psi_prediction(
     rows outside or null left out of the shares.
 
     A bin that is empty on one side makes the index infinite (``empty='inf'``); with
-    ``empty='floor'`` such a share becomes 1e-5. Null when the baseline is one value.
+    ``empty='floor'`` such a share becomes 1e-5. A constant baseline has no bins
+    and the index 0. Without any current row in range, all its shares are 1e-5.
     """
     compared = _quantile_comparison(base, cur, cols, by, bins, "lowest")
     used = F.size("edges") - 1
@@ -316,7 +317,7 @@ def psi_prediction(
 
     one = X.term_or_infinity if empty == "inf" else X.term
     value = X.index(share(F.col("ref_counts")), share(F.col("cur_counts")), one)
-    return compared.select(*by, "feature", F.when(used > 0, value).alias("psi"))
+    return compared.select(*by, "feature", value.alias("psi"))
 
 
 def psi_scheduled(

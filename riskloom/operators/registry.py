@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.months import as_date
+from riskloom.operators.assemble import OOT_MONTHS, TRAIN_MONTHS, window_columns
 
 # Fixed value: how a version is named after its training date.
 VERSION_PREFIX = "credit_model_"
@@ -18,11 +19,13 @@ def model_version(train_date: Column) -> Column:
     return F.concat(F.lit(VERSION_PREFIX), F.date_format(train_date, "yyyy_MM_dd"))
 
 
-def registry_rows(metrics: DataFrame, windows: DataFrame) -> DataFrame:
-    """Registry rows from per-split metrics and the training windows.
+def registry_rows(
+    metrics: DataFrame, train_months: int = TRAIN_MONTHS, oot_months: int = OOT_MONTHS
+) -> DataFrame:
+    """Registry rows from per-split metrics, with the training windows of their date.
 
     ``metrics`` has one row per (train_date, split) with split train, test or oot and the
-    columns row_count, label_rate and auc. ``windows`` has one row per train_date.
+    columns row_count, label_rate and auc.
     """
 
     def of(split: str, col: str) -> Column:
@@ -35,9 +38,11 @@ def registry_rows(metrics: DataFrame, windows: DataFrame) -> DataFrame:
         *[of(s, "auc").alias(f"auc_{s}") for s in splits],
     )
     gini = [F.round(F.col(f"auc_{s}") * 2 - 1, 4).alias(f"gini_{s}") for s in splits]
-    return wide.join(windows, "train_date").select(
+    bounds = window_columns(F.col("train_date"), train_months, oot_months)
+    return wide.select(
         model_version(F.col("train_date")).alias("model_version"),
-        *[c for c in windows.columns],
+        "train_date",
+        *[c.alias(name) for name, c in bounds.items()],
         *[c for c in wide.columns if c != "train_date"],
         *gini,
     )

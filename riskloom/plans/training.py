@@ -64,7 +64,7 @@ def run_training(
         .join(A.split_stats(rows), "split", "right")
         .withColumn("train_date", as_date(train_date))
     )
-    row = R.with_params(R.registry_rows(metrics, A.training_windows(day)), model.params)
+    row = R.with_params(R.registry_rows(metrics), model.params)
     R.append_registry(row, f"{bank}/registry")
     month = M.baseline_month(as_date(train_date))
     known = A.assemble_scoring(

@@ -330,23 +330,23 @@ def _(spark, sf):
     return out
 
 
-@query(
-    "a12_bin_frequency",
-    """WITH rows AS (SELECT CASE WHEN amount > 0 AND amount <= 125000 THEN 0 WHEN amount > 125000 AND amount <= 250000 THEN 1
-    WHEN amount > 250000 AND amount <= 375000 THEN 2 WHEN amount > 375000 AND amount <= 400000 THEN 3 END AS bin_id
-  FROM order_features)
-SELECT 'amount' AS feature, bin_id, count(*) AS n, count(*) / (SELECT count(*) FROM rows) AS share
-FROM rows WHERE bin_id IS NOT NULL GROUP BY bin_id""",
-    ["order_features"],
-    ["share"],
+_SHARES = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS feature, CAST(i - 1 AS INTEGER) AS bin_id, count(*) AS n, count(*) / (SELECT count(*) FROM order_features) AS share
+FROM order_features, (SELECT list_concat(['-Infinity'::DOUBLE], quantile_disc(CAST({c} AS DOUBLE),
+    [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]), ['Infinity'::DOUBLE]) AS e FROM order_features WHERE snapshot_date < DATE '1996-01-01') AS q,
+  (SELECT unnest(range(1, 11)) AS i) AS s
+WHERE {c} > e[i] AND {c} <= e[i + 1] GROUP BY i"""
+    for c in ("amount", "tier")
 )
+
+
+@query("a12_bin_frequency", _SHARES, ["order_features"], ["share"])
 def _(spark, sf):
     rows = V.order_features(spark, sf)
-    edges = spark.range(1).select(
-        F.lit("amount").alias("feature"),
-        F.array(*[F.lit(float(e)) for e in (0, 125000, 250000, 375000, 400000)]).alias("edges"),
-    )
-    return D.bin_frequency(rows, ["amount"], edges, bins=4)
+    base = rows.where("snapshot_date < date'1996-01-01'")
+    # Accuracy high enough to be exact on the test data.
+    edges = D.psi_edges_quantile(base, ["amount", "tier"], accuracy=100_000)
+    return D.bin_frequency(rows, ["amount", "tier"], edges)
 
 
 def top_k_sql(source: str, cols, k: int) -> str:

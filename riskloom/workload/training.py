@@ -323,13 +323,12 @@ SELECT 'credit_model_1998_03_01' AS model_version, {WINDOWS}, wide.*, {", ".join
 )
 def _(spark, sf):
     rows = training_rows(V.labels_silver(spark, sf), V.attrs(spark, sf), V.fins(spark, sf), TRAIN_DATE)
-    day = A.train_date_frame(spark, TRAIN_DATE)
     metrics = (
         A.split_stats(rows)
         .join(ranks.auc(rows, "Interest_Rate", "label", ["split"]).select("split", "auc"), "split", "left")
         .withColumn("train_date", F.lit(TRAIN_DATE).cast("date"))
     )
-    row = G.with_params(G.registry_rows(metrics, A.training_windows(day)), {"maxIter": 25})
+    row = G.with_params(G.registry_rows(metrics), {"maxIter": 25})
     path = scratch_dir(spark, "registry")
     G.append_registry(row, path)
     saved = G.read_registry(spark, path)
