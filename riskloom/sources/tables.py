@@ -22,18 +22,18 @@ def write_table(
     path: str,
     partition_by: Sequence[str] = (MONTH,),
     fmt: str = "parquet",
-    **options: str,
+    rebalance: bool = True,
 ) -> None:
     """Overwrite exactly the partitions present in ``df``; a rerun replaces its months.
 
     The rebalance hint sizes the output files by volume: a month with a third of all rows
-    is split over many tasks, small months share one.
+    is split over many tasks, small months share one. It costs a shuffle, which input that
+    is already clustered by month can do without (``rebalance=False``).
     """
+    rows = df.hint("rebalance", *partition_by) if rebalance else df
     (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .options(**options)
         .partitionBy(*partition_by)
         .format(fmt)
         .save(path)

@@ -1,36 +1,33 @@
-"""Scheduled catch-up: feed files that arrived since the last run go into the bronze table.
+"""Scheduled catch-up: feed files that arrived since the last run are added to bronze.
 
-The file source keeps track of what was read, so a run only looks at new files. A month
-that is touched is rebuilt from all of its files, so late files and restarts leave neither
-gaps nor duplicates.
+The stream remembers which files it has read and which output files it has committed, so a
+run reads new files only, and a restart or a lost executor leaves neither gaps nor
+duplicates. Late files of an old month are added to that month.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from riskloom.sources.feeds import read_feed
 from riskloom.sources.schemas import raw_schema
-from riskloom.sources.tables import MONTH, ingest_bronze
+from riskloom.sources.tables import MONTH
 
 
-def catch_up(spark: SparkSession, feed: str, source: str, table: str, progress: str) -> None:
-    """Process all new files of ``feed`` below ``source`` once, then stop.
+def arriving(spark: SparkSession, feed: str, source: str) -> DataFrame:
+    """Files of a feed as a stream of raw text rows."""
+    return spark.readStream.schema(raw_schema(feed)).option("header", True).option("escape", '"').csv(source)
 
-    ``progress`` is the folder in which the stream remembers the files it has seen.
-    """
-    arrived = (
-        spark.readStream.schema(raw_schema(feed)).option("header", True).option("escape", '"').csv(source)
-    )
 
-    def rebuild(batch: DataFrame, _: int) -> None:
-        # One row per month that has new rows.
-        touched = F.broadcast(batch.select(MONTH).where(F.col(MONTH).isNotNull()).distinct())
-        ingest_bronze(read_feed(batch.sparkSession, feed, source).join(touched, MONTH, "left_semi"), table)
+def catch_up(spark: SparkSession, feed: str, source: str, table: str, progress: str) -> None:
+    """Process all files of ``feed`` that are new below ``source``, then stop.
 
+    ``progress`` keeps the state of the stream. ``table`` is written by this stream alone.
+    """
     query = (
-        arrived.writeStream.foreachBatch(rebuild)
+        arriving(spark, feed, source)
+        .writeStream.format("parquet")
+        .partitionBy(MONTH)
+        .option("path", table)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()

@@ -215,20 +215,20 @@ def _(spark, sf):
 
 @query(
     "j7_aligned_shares",
-    """SELECT COALESCE(b.branch, c.branch) AS branch, COALESCE(b.share, 0.00001) AS expected, COALESCE(c.share, 0.00001) AS actual
-FROM (SELECT branch, count(*) / sum(count(*)) OVER () AS share FROM order_features
-    WHERE snapshot_date < DATE '1996-01-01' AND tier <> 3 GROUP BY branch) AS b
-FULL JOIN (SELECT branch, count(*) / sum(count(*)) OVER () AS share FROM order_features
-    WHERE snapshot_date >= DATE '1996-01-01' AND tier <> 5 AND branch <> 'B7' GROUP BY branch) AS c
-ON b.branch = c.branch""",
-    ["order_features"],
+    """SELECT COALESCE(b.bin, c.bin) AS bin, COALESCE(b.share, 0.00001) AS expected, COALESCE(c.share, 0.00001) AS actual
+FROM (SELECT CAST(floor(util_rate * 20) AS INTEGER) AS bin, count(*) / sum(count(*)) OVER () AS share FROM monitored
+    WHERE snapshot_date < DATE '1996-01-01' GROUP BY 1) AS b
+FULL JOIN (SELECT CAST(floor(util_rate * 20) AS INTEGER) AS bin, count(*) / sum(count(*)) OVER () AS share FROM monitored
+    WHERE snapshot_date >= DATE '1996-01-01' GROUP BY 1) AS c
+ON b.bin = c.bin""",
+    ["monitored"],
     ["expected", "actual"],
 )
 def _(spark, sf):
-    rows = V.order_features(spark, sf)
-    base = rows.where("snapshot_date < date'1996-01-01' and tier <> 3")
-    cur = rows.where("snapshot_date >= date'1996-01-01' and tier <> 5 and branch <> 'B7'")
-    return D.aligned_shares(base, cur, "branch", 1e-5)
+    # Later years reach bins that the baseline year does not have.
+    rows = V.monitored(spark, sf).withColumn("bin", F.floor(F.col("util_rate") * 20).cast("int"))
+    base = rows.where("snapshot_date < date'1996-01-01'")
+    return D.aligned_shares(base, rows.where("snapshot_date >= date'1996-01-01'"), "bin", 1e-5)
 
 
 @query(

@@ -261,13 +261,13 @@ def _(spark, sf):
   CASE WHEN current_min = current_max AND baseline_std > 0.01 THEN 'CRITICAL' ELSE 'INFO' END AS severity,
   CASE WHEN current_min = current_max AND baseline_std > 0.01 THEN 'RETRAIN MODEL' ELSE 'NONE' END AS recommended_action
 FROM (SELECT count(p) AS current_count, min(p) AS current_min, max(p) AS current_max
-    FROM (SELECT model_predictions * 0 + 0.16442 AS p FROM scores WHERE snapshot_date >= DATE '2001-01-01') AS s) AS c,
+    FROM (SELECT model_predictions * 0 + 0.16442 AS p FROM scores) AS s) AS c,
   (SELECT stddev_pop(prediction) AS baseline_std FROM score_baseline) AS b""",
     ["scores", "score_baseline"],
     ["current_min", "current_max", "baseline_std"],
 )
 def _(spark, sf):
-    frozen = V.scores(spark, sf).where("snapshot_date >= date'2001-01-01'").withColumn(
+    frozen = V.scores(spark, sf).withColumn(
         "model_predictions", F.col("model_predictions") * 0 + F.lit(0.16442)
     )
     return P.constant_score_report(V.score_baseline(spark, sf), "prediction", frozen, "model_predictions")

@@ -96,14 +96,19 @@ def _(spark, sf):
     ["scores"],
 )
 def _(spark, sf):
+    # Three scoring jobs, told apart by order priority, each with its own layout.
     root = scratch_dir(spark, "predictions")
-    key = F.pmod(F.col("Customer_ID").cast("bigint"), F.lit(3))
-    rows = V.scores(spark, sf).select("Customer_ID", "model_predictions", "snapshot_date")
-    month = F.date_format("snapshot_date", "yyyy-MM")
-    rows.where(key == 0).withColumn("date", month).drop("snapshot_date").write.partitionBy("date").parquet(f"{root}/a")
-    rows.where(key == 1).write.partitionBy("snapshot_date").parquet(f"{root}/b")
+    orders = V.table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("Customer_ID"),
+        (F.col("o_totalprice") / 500000).alias("model_predictions"),
+        V.month_of("o_orderdate").alias("snapshot_date"),
+        F.substring("o_orderpriority", 1, 1).alias("job"),
+    )
+    by_date = orders.where("job in ('1', '2')").withColumn("date", F.date_format("snapshot_date", "yyyy-MM"))
+    by_date.drop("snapshot_date", "job").write.partitionBy("date").parquet(f"{root}/a")
+    orders.where("job = '3'").drop("job").write.partitionBy("snapshot_date").parquet(f"{root}/b")
     for day in ("1998-03-01", "1998-04-01"):
-        one = tables.snapshot(rows.where(key == 2), day).drop("snapshot_date")
+        one = tables.snapshot(orders.where("job in ('4', '5')"), day).drop("snapshot_date", "job")
         one.write.parquet(f"{root}/credit_model_preds_{day.replace('-', '_')}.parquet")
     return feeds.predictions_for_month(spark, root, "1998-04")
 

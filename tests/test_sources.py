@@ -85,7 +85,7 @@ def test_baseline_document_with_infinite_edges(spark, scratch):
     assert {r["category"]: r["p_ref"] for r in rows if r["value_type"] == "categorical"} == {"a": 0.9, "__OTHER__": 0.1}
 
 
-def test_catch_up_rebuilds_touched_months(spark, scratch):
+def test_catch_up_reads_each_file_once(spark, scratch):
     source, table, progress = scratch("source"), scratch("bronze"), scratch("progress")
     line = "C{0},Ann,41,x,Lawyer,{1}\n".format
     _write(source, "1.csv", HEADER + line(1, "2023-01-01") + line(2, "2023-02-01"))
