@@ -32,8 +32,12 @@ def _col(c: Column | str) -> Column:
 
 
 def parse_int(c: Column | str) -> Column:
-    """Text or number to int; a decimal fraction is cut off, anything unparsable is null."""
-    return F.regexp_replace(_col(c).cast("string"), r"\.\d*$", "").try_cast("int")
+    """Text or number to int; a decimal fraction is cut off, anything unparsable is null.
+
+    The pattern only runs on text that is not an integer already.
+    """
+    text = _col(c).cast("string")
+    return F.coalesce(text.try_cast("int"), F.regexp_replace(text, r"\.\d*$", "").try_cast("int"))
 
 
 def clamp_negative_to_zero(c: Column | str) -> Column:

@@ -41,12 +41,14 @@ OUTLIER_CAPS = {
 
 def enforce_schema(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the listed columns; unparsable values become null, other columns stay."""
+    present = dict(df.dtypes)
 
     def typed(name: str):
         kind = types[name]
         return X.parse_int(name) if kind == "int" else F.col(name).try_cast(kind)
 
-    return df.withColumns({name: typed(name) for name in types if name in df.columns})
+    wanted = [name for name in types if name in present and present[name] != types[name]]
+    return df.withColumns({name: typed(name) for name in wanted}) if wanted else df
 
 
 def clamp_negative(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Capturing the Python call site of every column expression costs more than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
