@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, html, mixing, quality, secrets, sentencepieces, urls
+from riskloom.llm import chat, html, mixing, neardup, quality, secrets, sentencepieces, urls
 from riskloom.llm.common import read_table, stored
 
 
@@ -195,3 +195,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         of(secrets.NOVEL).alias("n_novel"),
         secrets.listed(F.col("spans")).alias("spans"),
     )
+
+
+@query("op4_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.jaccard_join(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
