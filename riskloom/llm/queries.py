@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, html, mixing, neardup, quality, secrets, sentencepieces, urls
+from riskloom.llm import chat, fingerprints, html, mixing, neardup, quality, secrets, sentencepieces, urls
 from riskloom.llm.common import read_table, stored
 
 
@@ -200,3 +200,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_jaccard_join")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.jaccard_join(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op5_paragraph_sketches")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
