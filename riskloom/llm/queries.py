@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, fingerprints, html, mixing, neardup, quality, secrets, sentencepieces, urls
+from riskloom.llm import chat, fingerprints, html, lm, mixing, neardup, quality, secrets, sentencepieces, urls
 from riskloom.llm.common import read_table, stored
 
 
@@ -205,3 +205,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_paragraph_sketches")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op6_attention_lm")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model())

@@ -257,6 +257,11 @@ class Encoder:
             out.append(self.segments["\n"])
         return b"".join(out[:-1])
 
+    def ids(self, text: str | None) -> np.ndarray:
+        """Ids with begin and end, without spans."""
+        inner = np.frombuffer(self._ids(self.normalise(text or "")[0]), dtype="<u4")
+        return np.concatenate([[self.begin], inner, [self.end]]).astype("<u4")
+
     def encode(self, text: str | None) -> Encoding:
         normalised, sources = self.normalise(text or "")
         inner = np.frombuffer(self._ids(normalised), dtype="<u4")
