@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 
-#: Segments a task remembers; beyond it starts anew.
+#: Segments in each half of what a task remembers.
 REMEMBERED = 400_000
 
 CONTROL = 3  # piece type in the model file
@@ -122,15 +122,21 @@ class Encoding:
 
 
 class _Segments(dict):
-    """Ids of segments as bytes, with ``lead`` put before them; the library is asked when one is first seen."""
+    """Ids of segments as bytes, with ``lead`` put before them; the library is asked when one is first seen.
+
+    When full, the segments become the older half, from which those that are used again come back.
+    """
 
     def __init__(self, library, lead: str = ""):
-        self.library, self.lead = library, lead
+        self.library, self.lead, self.older = library, lead, {}
 
     def __missing__(self, segment: str) -> bytes:
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        ids = array("I", self.library.encode(self.lead + segment)).tobytes()
+        ids = self.older.get(segment)
+        if ids is None:
+            ids = array("I", self.library.encode(self.lead + segment)).tobytes()
         self[segment] = ids
         return ids
 
