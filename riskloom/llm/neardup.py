@@ -393,32 +393,50 @@ def exact_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, settings: S
     return stored(dealt.mapInPandas(check, "a long, b long, links long"), "join-links")
 
 
-def jaccard_join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per document: ``doc_id``, ``class_id`` (smallest id of its connected near copies), ``copy_id`` (of the
-    documents with its own shingle set), ``n_shingles`` and ``n_links``, the other documents at or above the threshold.
-    """
+def _classified(docs: DataFrame, settings: Settings) -> DataFrame:
+    """Per row: ids, hashes of the text, its set's size, class (as a set number and as an id), copies and links."""
     rows = features(docs, settings)
     sets = distinct_sets(rows)
     groups = components(candidate_edges(sets, settings))
     links = exact_links(docs, sets, groups, settings)
     counts = links.groupBy(F.col("a").alias("uid")).agg(F.sum("links").alias("links"))
-    classes = components(links.select("a", "b"))
-    named = sets.select("uid", "first_id").join(classes.select(F.col("node").alias("uid"), "label"), "uid")
+    classes = components(links.select("a", "b")).select(F.col("node").alias("uid"), "label")
+    named = sets.select("uid", "first_id").join(classes, "uid")
     names = named.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    named = named.join(names, "label").select("uid", "class_id")
-    known = (
-        sets.select("d1", "d2", "n", "uid", F.col("first_id").alias("copy_id"), "copies")
-        .join(named, "uid", "left")
-        .join(counts, "uid", "left")
-    )
-    known = stored(
-        known.select(
-            "d1", "d2", "n", "copy_id",
-            F.coalesce("class_id", "copy_id").alias("class_id"),
-            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        ),
-        "join-known",
+    named = named.join(names, "label").select("uid", "label", "class_id")
+    known = sets.select("d1", "d2", "n", "uid", F.col("first_id").alias("copy_id"), "copies")
+    known = known.join(named, "uid", "left").join(counts, "uid", "left")
+    known = known.select(
+        "d1", "d2", "n", "copy_id",
+        F.coalesce("label", "uid").alias("class"),
+        F.coalesce("class_id", "copy_id").alias("class_id"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
-    return rows.select("doc_id", "d1", "d2", "n").join(known, ["d1", "d2", "n"]).select(
+    return rows.drop("minima").join(stored(known, "join-known"), ["d1", "d2", "n"])
+
+
+def jaccard_join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One row per document: ``doc_id``, ``class_id`` (smallest id of its connected near copies), ``copy_id`` (of the
+    documents with its own shingle set), ``n_shingles`` and ``n_links``, the other documents at or above the threshold.
+    """
+    return _classified(docs, settings).select(
         "doc_id", "class_id", "copy_id", F.col("n").cast("long").alias("n_shingles"), "n_links"
     )
+
+
+def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each class the row with the smallest id stays, one if it is repeated."""
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h1", "h2")
+    chosen = _classified(docs, settings).groupBy("class").agg(F.min(order).alias("o"))
+    chosen = stored(
+        chosen.select(F.col("o.doc_id").alias("_id"), F.col("o.h1").alias("_h1"), F.col("o.h2").alias("_h2")), "join-kept"
+    )
+    text = F.coalesce(F.col("text"), F.lit(""))
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_id"))
+        & (F.xxhash64(text) == F.col("_h1"))
+        & (F.xxhash64(F.lit("second"), text) == F.col("_h2"))
+    )
+    kept = stored(lookup_join(docs, chosen, same, "left_semi"), "join-docs")
+    # Only where rows are repeated does the whole row have to be dealt again.
+    return kept if kept.count() == chosen.count() else kept.dropDuplicates(["doc_id", "text"])

@@ -317,6 +317,27 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     return rows.withColumns({c: F.col("_pieces")[c] for c in ("ids", "starts", "ends")}).drop("_pieces")
 
 
+def training_ids(docs: DataFrame, model_path: str) -> DataFrame:
+    """``docs`` with ``ids``, begin and end included, ``n_tokens``, and whether decoding gives the text back."""
+
+    @F.pandas_udf("struct<ids: array<int>, round_trip: boolean>")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(model_path)
+        for texts in batches:
+            ids = [encoder.ids(t) for t in texts]
+            same = [encoder.decode(x) == (t or "") for x, t in zip(ids, texts, strict=True)]
+            yield pd.DataFrame({"ids": [x.astype(np.int32) for x in ids], "round_trip": same})
+
+    rows = docs.withColumn("_read", both(F.col("text")))
+    return rows.withColumns(
+        {
+            "ids": F.col("_read")["ids"],
+            "n_tokens": F.size(F.col("_read")["ids"]).cast("long"),
+            "round_trip": F.col("_read")["round_trip"],
+        }
+    ).drop("_read")
+
+
 def _hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
