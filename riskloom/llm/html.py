@@ -124,7 +124,8 @@ class Parser:
             beside = beside or named or hidden
         whole = tag in VOID or tag in RAW_END or rest.endswith("/") and tag in ("svg", "path")
         found = (closes, tag, step, beside, tag in BLOCKS, whole)
-        if len(token) <= 200 and len(self.known) < 50_000:
+        closed = token.count('"') % 2 == token.count("'") % 2 == 0
+        if closed and len(token) <= 200 and len(self.known) < 50_000:
             self.known[token] = found
         return found
 
@@ -147,7 +148,8 @@ class Parser:
             for i in range(len(stack) - 1, 0, -1):
                 tag = stack[i].tag
                 if tag in tags:
-                    flush()
+                    if any(e.tag in BLOCKS for e in stack[i:]):
+                        flush()
                     del stack[i:]
                     return
                 if tag in stop:
