@@ -106,7 +106,7 @@ def history_to_months(c: Column | str) -> Column:
     pattern = r"^(\d+) Years and (\d+) Months"
     years = F.regexp_extract(c, pattern, 1).try_cast("int")
     months = F.regexp_extract(c, pattern, 2).try_cast("int")
-    return F.when(c.rlike(pattern), years * 12 + months)
+    return F.when(c.rlike(pattern), F.try_add(F.try_multiply(years, F.lit(12)), months))
 
 
 def cap(c: Column | str, limit: float) -> Column:

@@ -34,9 +34,14 @@ def installments_missed(overdue: str = "overdue_amt", due: str = "due_amt") -> C
     return F.coalesce(F.ceil(F.try_divide(overdue, due)).try_cast("int"), F.lit(0))
 
 
+# More missed installments than this lie before any date that a ledger can hold.
+MAX_MISSED = 12_000
+
+
 def first_missed_date() -> Column:
+    """Snapshot minus the missed months; null where nothing is missed or the count is beyond all dates."""
     missed = F.col("installments_missed")
-    return F.when(missed > 0, F.add_months("snapshot_date", -missed))
+    return F.when(missed.between(1, MAX_MISSED), F.add_months("snapshot_date", -missed))
 
 
 def days_past_due() -> Column:

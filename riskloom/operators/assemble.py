@@ -94,11 +94,13 @@ def assemble_training(
     train_date: str | date,
     train_months: int = TRAIN_MONTHS,
     oot_months: int = OOT_MONTHS,
+    point_in_time: bool = False,
 ) -> DataFrame:
     """Labels of both windows with all features known by the end of the later one.
 
     Features match on customer alone. A customer with several feature rows multiplies the
-    label rows, as a plain left join does.
+    label rows, as a plain left join does; with ``point_in_time`` only the last snapshot of
+    each customer up to that day counts.
     """
     bounds = window_columns(as_date(train_date), train_months, oot_months)
     inside = select_present(labels, LABEL_COLUMNS).where(
@@ -107,7 +109,8 @@ def assemble_training(
 
     def known(features: DataFrame, cols: Sequence[str]) -> DataFrame:
         kept = select_present(features, ["Customer_ID", MONTH, *cols])
-        return kept.where(F.col(MONTH) <= bounds["oot_end"]).drop(MONTH)
+        kept = kept.where(F.col(MONTH) <= bounds["oot_end"])
+        return last_snapshot(kept) if point_in_time else kept.drop(MONTH)
 
     joined = lookup_join(
         inside,
@@ -117,6 +120,13 @@ def assemble_training(
     return select_present(joined, [*LABEL_COLUMNS, *feature_list()])
 
 
+def last_snapshot(features: DataFrame) -> DataFrame:
+    """One row per customer, of its last month; of several in that month the largest. Summed before the shuffle."""
+    cols = [c for c in features.columns if c not in ("Customer_ID", MONTH)]
+    last = features.groupBy("Customer_ID").agg(F.max(F.struct(MONTH, *cols)).alias("_last"))
+    return last.select("Customer_ID", *[F.col("_last")[c].alias(c) for c in cols])
+
+
 def assemble_scoring(attributes: DataFrame, financials: DataFrame, how: str = "inner") -> DataFrame:
     """Attributes with the financials of the same customer and month, any number of months."""
     left = select_present(attributes, ["Customer_ID", MONTH, *ATTRIBUTE_FEATURES])
@@ -133,13 +143,23 @@ def match_predictions_to_labels(labels: DataFrame, predictions: DataFrame, lag:
 
 
 def label_feature_table(
-    labels: DataFrame, attributes: DataFrame, financials: DataFrame, as_of: str | date
+    labels: DataFrame,
+    attributes: DataFrame,
+    financials: DataFrame,
+    as_of: str | date,
+    point_in_time: bool = False,
 ) -> DataFrame:
-    """Labels of one month with the features recorded before it, dates dropped."""
+    """Labels of one month with the features recorded before it, dates dropped.
+
+    With ``point_in_time`` only the last snapshot of each customer before it counts.
+    """
     day = as_date(as_of)
 
     def earlier(features: DataFrame, cols: Sequence[str]) -> DataFrame:
-        return select_present(features.where(F.col(MONTH) < day), ["Customer_ID", *cols])
+        known = features.where(F.col(MONTH) < day)
+        if point_in_time:
+            return last_snapshot(select_present(known, ["Customer_ID", MONTH, *cols]))
+        return select_present(known, ["Customer_ID", *cols])
 
     on_day = labels.where(F.col(MONTH) == day).select("loan_id", "Customer_ID", "label")
     return lookup_join(
@@ -231,15 +251,22 @@ def stratified_split(
         )
     )
     last = F.col("_take") - 1
+    candidates = rank_candidates(hashed, [label], "_h", [ratio], small).select(
+        F.col(label).alias("_label"), F.col("_h").alias("_at"), "before", "copies"
+    )
+    held = (last >= F.col("before")) & (last < F.col("before") + F.col("copies"))
+    # A class without places in train has no boundary; any other must have one.
+    found = F.max(F.when(held, F.col("_at")))
+    checked = F.when(F.col("_take") > 0, F.coalesce(found, F.raise_error(F.lit("rank outside its bracket")).cast("bigint")))
     boundary = (
-        rank_candidates(hashed, [label], "_h", [ratio], small)
-        .join(F.broadcast(quota), label)
-        .where((last >= F.col("before")) & (last < F.col("before") + F.col("copies")))
-        .select(label, F.col("_h").alias("_boundary"))
+        quota.join(candidates, F.col(label).eqNullSafe(F.col("_label")), "left")
+        .groupBy(F.col(label).alias("_class"), "_take")
+        .agg(checked.alias("_boundary"))
+        .drop("_take")
     )
-    out = hashed.join(F.broadcast(boundary), label, "left")
+    out = hashed.join(F.broadcast(boundary), F.col(label).eqNullSafe(F.col("_class")), "left")
     inside = F.col("_h") <= F.col("_boundary")
-    return out.withColumn("split", F.when(inside, "train").otherwise("test")).drop("_h", "_boundary")
+    return out.withColumn("split", F.when(inside, "train").otherwise("test")).drop("_h", "_boundary", "_class")
 
 
 def split_stats(df: DataFrame, split: str = "split", label: str = "label") -> DataFrame:

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import psi as X
 from riskloom.sources.payloads import ok_payloads
-from riskloom.sources.tables import latest_per
 
 # Decision thresholds.
 OVERALL_THRESHOLD = 0.25
@@ -46,10 +46,16 @@ def grade_psi(df: DataFrame, psi: str = "psi") -> DataFrame:
     )
 
 
-def alert_records(df: DataFrame, psi: str = "psi") -> DataFrame:
-    """Alert of each row: level, status, action, message with six decimals, notify flag."""
+def _at(now: Column | str | None) -> Column:
+    """Time of a record: an argument, so that a rerun writes the same."""
+    return (F.lit(now) if not isinstance(now, Column) else now).cast("timestamp")
+
+
+def alert_records(df: DataFrame, psi: str = "psi", now: Column | str | None = None) -> DataFrame:
+    """Alert of each row: level, status, action, message with six decimals, notify flag, time."""
     level = X.alert_level(F.col(psi))
     text = F.concat(F.lit("PSI="), fixed(F.col(psi), 6))
+    # The texts of the messages.
     message = _by_level(
         level,
         F.concat(F.lit("Model is running normally. "), text),
@@ -63,20 +69,28 @@ def alert_records(df: DataFrame, psi: str = "psi") -> DataFrame:
             "action": _by_level(level, "CONTINUE", "MONITOR", "RETRAIN"),
             "message": message,
             "notify": level != "GREEN",
+            "timestamp": _at(now),
         }
     )
 
 
 def alert_records_detailed(
-    df: DataFrame, team: Sequence[str], escalation: Sequence[str], psi: str = "psi"
+    df: DataFrame,
+    team: Sequence[str],
+    escalation: Sequence[str],
+    psi: str = "psi",
+    now: Column | str | None = None,
+    monitoring_date: Column | None = None,
+    model_name: str | None = None,
 ) -> DataFrame:
     """Alerts with recipients and channels: a warning goes to ``team`` by e-mail, a critical
-    one also to ``escalation`` and to chat."""
+    one also to ``escalation`` and to chat. Each names its time, date, model and thresholds."""
     level = X.alert_level(F.col(psi))
     nobody = F.array().cast("array<string>")
     team_list = F.array(*[F.lit(x) for x in team])
     everyone = F.array(*[F.lit(x) for x in [*team, *escalation]])
     text = F.concat(F.lit("(PSI="), fixed(F.col(psi), 4), F.lit(")"))
+    # The texts of the messages.
     message = _by_level(
         level,
         F.concat(F.lit("OK: PSI stable "), text, F.lit(". No action needed.")),
@@ -95,6 +109,11 @@ def alert_records_detailed(
             ),
             "message": message,
             "recommended_action": _by_level(level, "CONTINUE", "MONITOR", "RETRAIN_NOW"),
+            "timestamp": _at(now),
+            "monitoring_date": (F.lit(None) if monitoring_date is None else monitoring_date).cast("date"),
+            "model_name": F.lit(model_name).cast("string"),
+            "threshold_moderate": F.lit(X.LOW),
+            "threshold_significant": F.lit(X.HIGH),
         }
     )
 
@@ -132,18 +151,30 @@ def cooldown(
     model: str = "model_name",
     when: str = "decided_on",
     days: int = COOLDOWN_DAYS,
+    state: DataFrame | None = None,
+    now: Column | str | date | None = None,
 ) -> DataFrame:
     """Final branch per decision: a wanted retrain runs unless the last one that ran is less
-    than ``days`` days back, in event time.
+    than ``days`` days back, in event time. ``state`` (``cooldown_state`` of earlier runs) holds
+    back models until their date; with ``now`` all decisions are taken at that time instead.
 
     The rule depends on its own earlier outcomes, so the wanted dates of a model are folded
     in order. They are distinct days: the list grows with the monitoring history of one
     model (a row per month), not with data.
     """
-    wanted = F.collect_set(F.when(F.col("wants_retrain"), F.col(when)))
+    names = decisions.columns
+    day = F.col(when) if now is None else (now if isinstance(now, Column) else F.lit(now)).cast("date")
+    decisions = decisions.withColumn("_day", day)
+    if state is None:
+        decisions = decisions.withColumn("_until", F.lit(None).cast("date"))
+    else:
+        # One row per model.
+        known = state.select(F.col(model).alias("_model"), F.col("cooldown_until").alias("_until"))
+        decisions = decisions.join(known, F.col(model).eqNullSafe(F.col("_model")), "left").drop("_model")
+    wanted = F.collect_set(F.when(F.col("wants_retrain"), F.col("_day")))
     days_wanted = F.sort_array(wanted.over(Window.partitionBy(model)))
     start = F.struct(
-        F.lit(None).cast("date").alias("until"), F.array().cast("array<date>").alias("ran")
+        F.col("_until").alias("until"), F.array().cast("array<date>").alias("ran")
     )
 
     def step(acc: Column, day: Column) -> Column:
@@ -156,19 +187,31 @@ def cooldown(
         ).otherwise(acc)
 
     ran = F.aggregate("_days", start, step, lambda acc: acc["ran"])
-    runs = F.coalesce(F.col("wants_retrain") & F.array_contains(ran, F.col(when)), F.lit(False))
+    runs = F.coalesce(F.col("wants_retrain") & F.array_contains(ran, F.col("_day")), F.lit(False))
     return (
         decisions.withColumn("_days", days_wanted)
         .withColumn("branch", F.when(runs, "retrain_model").otherwise("skip_retrain"))
-        .drop("_days")
+        .select(*names, "branch")
     )
 
 
-def cooldown_state(decided: DataFrame, model: str = "model_name", when: str = "decided_on",
-                   days: int = COOLDOWN_DAYS) -> DataFrame:
-    """Per model: until when retraining is suppressed after its last retrain."""
+def cooldown_state(
+    decided: DataFrame,
+    model: str = "model_name",
+    when: str = "decided_on",
+    days: int = COOLDOWN_DAYS,
+    state: DataFrame | None = None,
+) -> DataFrame:
+    """Per model: until when retraining is suppressed after its last retrain; written by one run and read by the next.
+
+    Models of an earlier ``state`` without a later retrain keep their date.
+    """
     ran = decided.where(F.col("branch") == "retrain_model")
-    return ran.groupBy(model).agg(F.date_add(F.max(when), days).alias("cooldown_until"))
+    own = ran.groupBy(model).agg(F.date_add(F.max(when), days).alias("cooldown_until"))
+    if state is None:
+        return own
+    both = own.unionByName(state.select(model, "cooldown_until"))
+    return both.groupBy(model).agg(F.max("cooldown_until").alias("cooldown_until"))
 
 
 def psi_dashboard_trend(payloads: DataFrame) -> DataFrame:
@@ -235,8 +278,10 @@ def alert_policy(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS policy({names})")
 
 
-def apply_policy(df: DataFrame, psi: str = "psi") -> DataFrame:
-    """Each row with the policy entry whose ``[psi_min, psi_max)`` holds its index.
+def apply_policy(
+    df: DataFrame, psi: str = "psi", team: Sequence[str] = (), escalation: Sequence[str] = ()
+) -> DataFrame:
+    """Each row with the policy entry whose ``[psi_min, psi_max)`` holds its index, and whom it is sent to.
 
     The policy has three fixed rows, so it becomes one literal array and a filter on it.
     """
@@ -255,8 +300,10 @@ def apply_policy(df: DataFrame, psi: str = "psi") -> DataFrame:
     )
     value = F.col(psi)
     hit = F.filter(entries, lambda p: (value >= p["psi_min"]) & (value < p["psi_max"]))
-    return df.withColumn("_p", F.get(hit, F.lit(0))).select(*df.columns, "_p.*")
-
-
-def latest_decisions(decisions: DataFrame, key: Sequence[str], order: str) -> DataFrame:
-    return latest_per(decisions, key, F.col(order))
+    listed = lambda names: F.array(*[F.lit(n) for n in names]).cast("array<string>")
+    recipients = (
+        F.when(F.col("_p.level") == "red", listed([*team, *escalation]))
+        .when(F.col("_p.level") == "yellow", listed(team))
+        .otherwise(listed([]))
+    )
+    return df.withColumn("_p", F.get(hit, F.lit(0))).select(*df.columns, "_p.*", recipients.alias("recipients"))

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import psi as X
 from riskloom.functions.months import as_date
-from riskloom.operators.cleaning import harmonise_score_name
+from riskloom.operators.cleaning import harmonise_score_name, strip_column_names
 from riskloom.operators.profile import classify_columns, score_stats
-from riskloom.operators.ranks import exact_quantiles, long_numeric
+from riskloom.operators.ranks import exact_percentiles, exact_quantiles, long_numeric
+from riskloom.session import stored
 from riskloom.sources.tables import MONTH
 
 # Bins, categories kept, pooled tokens, and the monitored key columns.
@@ -25,8 +26,7 @@ TOP_CATEGORIES = 50
 NULL_TOKEN = "__NULL__"
 OTHER_TOKEN = "__OTHER__"
 KEY_COLUMNS = ["score", "util_rate", "dti", "age"]
-FALLBACK_COLUMNS = 5
-QUANTILE_ACCURACY = 1000
+SCORE_NAMES = ["prediction", "model_predictions", "score"]
 
 INFINITY = float("inf")
 
@@ -44,17 +44,22 @@ def _nan_to_null(c: str) -> Column:
 
 
 def psi_edges_quantile(
-    df: DataFrame, cols: Sequence[str], bins: int = BINS, accuracy: int = QUANTILE_ACCURACY
+    df: DataFrame, cols: Sequence[str], bins: int = BINS, accuracy: int | None = None
 ) -> DataFrame:
-    """(feature, edges): approximate inner quantiles with infinite ends, duplicates kept.
+    """(feature, edges): inner quantiles with infinite ends, duplicates kept; stored, so that all uses see the same.
 
-    A bounded sketch per column; the rank error is at most ``1 / accuracy``.
+    Exact by default. With ``accuracy`` a bounded sketch per column whose rank error is at most ``1 / accuracy``.
     """
     probs = [i / bins for i in range(1, bins)]
     rows = long_numeric(df, cols)
-    inner = F.percentile_approx("value", probs, accuracy)
-    ends = F.concat(F.array(F.lit(-INFINITY)), inner, F.array(F.lit(INFINITY)))
-    return rows.groupBy("feature").agg(ends.alias("edges"))
+    if accuracy is None:
+        found = exact_percentiles(rows, ["feature"], "value", probs)
+    else:
+        found = rows.groupBy("feature").agg(F.percentile_approx("value", probs, accuracy).alias("quantiles"))
+    empty = rows.select("feature").distinct().select("feature", F.lit(None).cast("array<double>").alias("_none"))
+    found = empty.join(found, "feature", "left").select("feature", "quantiles")
+    ends = F.concat(F.array(F.lit(-INFINITY)), F.col("quantiles"), F.array(F.lit(INFINITY)))
+    return stored(found.select("feature", ends.alias("edges")), "edges")
 
 
 def bin_frequency(df: DataFrame, cols: Sequence[str], edges: DataFrame, bins: int = BINS) -> DataFrame:
@@ -123,7 +128,7 @@ def psi_baseline(
     categorical: Sequence[str] | None = None,
     drop: Sequence[str] = (),
     bins: int = BINS,
-    accuracy: int = QUANTILE_ACCURACY,
+    accuracy: int | None = None,
     k: int = TOP_CATEGORIES,
 ) -> DataFrame:
     """Long baseline table: one row per numeric bin or kept category with its share.
@@ -233,12 +238,21 @@ def feature_psi(
     baseline: DataFrame,
     model_name: str,
     baseline_snapshot: str | date,
-    numeric: Sequence[str],
-    categorical: Sequence[str],
+    numeric: Sequence[str] | None = None,
+    categorical: Sequence[str] | None = None,
     month: str = MONTH,
     bins: int = BINS,
 ) -> DataFrame:
-    """Graded PSI rows of every baseline feature present in ``cur``, for all its months."""
+    """Graded PSI rows of every baseline feature present in ``cur``, for all its months.
+
+    Without lists the features and their kinds are those of the baseline table.
+    """
+    if numeric is None or categorical is None:
+        # One row per monitored feature.
+        kinds = baseline.select("feature", "value_type").distinct().collect()
+        of = lambda kind: sorted(r["feature"] for r in kinds if r["value_type"] == kind)
+        numeric = of("numeric") if numeric is None else numeric
+        categorical = of("categorical") if categorical is None else categorical
     parts = []
     for kind, cols, one in (("numeric", numeric, psi_numeric), ("categorical", categorical, psi_categorical)):
         present = [c for c in cols if c in cur.columns]
@@ -271,6 +285,7 @@ def _quantile_comparison(
     edges = exact_quantiles(base_rows, ["feature"], "value", _tenths(bins)).select(
         "feature", F.array_distinct("quantiles").alias("edges")
     )
+    edges = stored(edges, "edges")
     # One edge list per compared column: bounded by the number of columns.
     small = F.broadcast(edges)
 
@@ -496,13 +511,21 @@ def prediction_drift(
     )
 
 
-def monitored_columns(base: DataFrame, cur: DataFrame) -> list[str]:
-    """Key columns present on both sides, else up to five common numeric columns by name."""
+def monitored_columns(base: DataFrame, cur: DataFrame, at_most: int | None = None) -> list[str]:
+    """Key columns present on both sides, else the common numeric columns by name, ``at_most`` that many."""
     keys = [c for c in KEY_COLUMNS if c in base.columns and c in cur.columns]
     if keys:
         return keys
     kinds = [set(_numeric_names(df)) for df in (base, cur)]
-    return sorted(kinds[0] & kinds[1])[:FALLBACK_COLUMNS]
+    return sorted(kinds[0] & kinds[1])[:at_most]
+
+
+def with_score_name(df: DataFrame) -> DataFrame:
+    """Trimmed column names, and the score under the name ``prediction``."""
+    out = strip_column_names(df)
+    for name in SCORE_NAMES[1:]:
+        out = harmonise_score_name(out, name)
+    return out
 
 
 def _numeric_names(df: DataFrame) -> list[str]:
@@ -518,16 +541,24 @@ def monthly_psi(
     months: DataFrame,
     baseline_from: str | date | None = None,
     cols: Sequence[str] | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Payload of every month in ``months``: definition D per column, the largest as overall.
 
-    ``baseline_from`` is the first month that has a baseline. Months before it and months
-    without predictions get a status row without an index.
+    Column names are trimmed on both sides, and where no key column is common the scores are compared under the name
+    ``prediction``. ``baseline_from`` is the first month that has a baseline. Months before it and months without
+    predictions get a status row without an index, months in which no column can be compared the status ``NO_COLUMNS``.
+    A column that cannot be compared in a month is left out of it.
     """
-    cols = list(cols) if cols is not None else monitored_columns(base, predictions)
-    index = psi_scheduled(base, predictions, cols, [MONTH])
+    base, predictions = strip_column_names(base), strip_column_names(predictions)
+    if cols is None and not any(c in base.columns and c in predictions.columns for c in KEY_COLUMNS):
+        base, predictions = with_score_name(base), with_score_name(predictions)
+    cols = list(cols) if cols is not None else monitored_columns(base, predictions, at_most)
+    cols = [c for c in cols if c in base.columns and c in predictions.columns]
+    empty = predictions.limit(0).select(MONTH, F.lit("").alias("feature"), F.lit(0.0).alias("psi"))
+    index = psi_scheduled(base, predictions, cols, [MONTH]) if cols else empty
     # One entry per monitored column and month.
-    details = index.groupBy(MONTH).agg(
+    details = index.where(F.col("psi").isNotNull()).groupBy(MONTH).agg(
         F.max(F.nullif("psi", F.lit(float("nan")))).alias("overall"),
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("feature", "psi")))).alias("psi"),
     )
@@ -536,6 +567,7 @@ def monthly_psi(
     status = (
         F.when(~has_base, "SKIPPED_NO_BASELINE")
         .when(F.col("_seen").isNull(), "SKIPPED_NO_PREDICTION")
+        .when(F.col("psi").isNull(), "NO_COLUMNS")
         .otherwise("OK")
     )
     rows = months.join(seen, MONTH, "left").join(details, MONTH, "left").withColumn("status", status)

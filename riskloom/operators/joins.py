@@ -7,21 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than this share of the rows and at least MIN_HOT_ROWS.
-# There are at most 1 / HOT_SHARE such keys, which bounds what is broadcast.
-HOT_SHARE = 1 / 2000
-MIN_HOT_ROWS = 1_000_000
-SALTS = 32
+from riskloom.session import stored
 
+# Rows of one key that one task should join; a key with more is spread over as many salts as it needs.
+KEY_ROWS = 1_000_000
+# Hot keys are broadcast up to this many, else joined by shuffle.
+BROADCAST_KEYS = 50_000
 
-def hot_keys(
-    rows: DataFrame, on: Sequence[str], share: float = HOT_SHARE, min_rows: int = MIN_HOT_ROWS
-) -> DataFrame:
-    """Keys with more than ``share`` of all rows: an exact count with map-side partial sums."""
-    counts = rows.groupBy(*on).agg(F.count("*").alias("_n"))
-    all_rows = counts.agg(F.sum("_n")).scalar()
-    limit = F.greatest(all_rows * F.lit(share), F.lit(float(min_rows)))
-    return counts.where(F.col("_n") > limit).select(*on, F.lit(True).alias("_hot"))
+
+def hot_keys(rows: DataFrame, on: Sequence[str], key_rows: int = KEY_ROWS) -> DataFrame:
+    """Keys with more than ``key_rows`` rows and the ``_salts`` they need: an exact count with map-side partial sums."""
+    counts = rows.select(*on).groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > key_rows)
+    return counts.select(*on, F.ceil(F.col("_n") / key_rows).cast("int").alias("_salts"))
 
 
 def lookup_join(
@@ -29,28 +26,31 @@ def lookup_join(
     lookups: DataFrame | Sequence[DataFrame],
     on: str | Sequence[str],
     how: str = "left",
-    share: float = HOT_SHARE,
-    min_rows: int = MIN_HOT_ROWS,
-    salts: int = SALTS,
+    key_rows: int = KEY_ROWS,
 ) -> DataFrame:
     """Join ``rows`` with one or more lookup tables on the same key (left or inner).
 
-    Rows of a hot key are spread over ``salts`` partitions and the lookup rows of that key
-    are repeated for each of them, so every match is kept. All lookups use the same salted
-    key: ``rows`` is shuffled once, however many lookups there are.
+    Rows of a hot key are spread over salted partitions, each with about ``key_rows`` of them, and the lookup rows of
+    that key are repeated for each salt, so every match is kept. All lookups use the same salted key: ``rows`` is
+    shuffled once, however many lookups there are.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     on = [on] if isinstance(on, str) else list(on)
     tables = [lookups] if isinstance(lookups, DataFrame) else list(lookups)
-    hot = F.broadcast(hot_keys(rows, on, share, min_rows))
+    hot = stored(hot_keys(rows, on, key_rows), "hot-keys")
+    found = hot.count()
+    if not found:
+        out = rows
+        for table in tables:
+            out = out.join(table, on, how)
+        return out
+    hot = F.broadcast(hot) if found <= BROADCAST_KEYS else hot
     # The salt depends on the row's content only, so a retried task repeats it.
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-    out = rows.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0))
-    out = out.drop("_hot")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    spread = F.pmod(F.xxhash64(*rows.columns), F.coalesce("_salts", F.lit(1))).cast("int")
+    out = rows.join(hot, on, "left").withColumn("_salt", spread).drop("_salts")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     for table in tables:
-        copies = F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
-        salted = table.join(hot, on, "left").withColumn("_salt", copies).drop("_hot")
+        salted = table.join(hot, on, "left").withColumn("_salt", copies).drop("_salts")
         out = out.join(salted, [*on, "_salt"], how)
     return out.drop("_salt")

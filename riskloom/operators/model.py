@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -168,7 +168,11 @@ def evaluate(model: ScoringModel, df: DataFrame, label: str = "label", split: st
 def save_model(spark: SparkSession, model: ScoringModel, path: str) -> None:
     """Model directory with the fitted preprocessing next to the Spark ML model."""
     model.model.write().overwrite().save(f"{path}/model")
-    state = json.dumps({"preprocessor": asdict(model.preprocessor), "params": model.params})
+    fitted = model.preprocessor
+    numbers = {"features": fitted.features, "medians": fitted.medians, "scale": fitted.scale}
+    state = json.dumps({"preprocessor": numbers, "params": model.params})
+    if fitted.occupation_codes is not None:
+        fitted.occupation_codes.write.mode("overwrite").parquet(f"{path}/codes")
     one = spark.range(1).select(F.lit(state).alias("value"))
     one.write.mode("overwrite").text(f"{path}/preprocessor")
 
@@ -176,6 +180,8 @@ def save_model(spark: SparkSession, model: ScoringModel, path: str) -> None:
 def load_model(spark: SparkSession, path: str) -> ScoringModel:
     state = json.loads(spark.read.text(f"{path}/preprocessor").first()["value"])
     fitted = Preprocessor(**state["preprocessor"])
+    if "Occupation" in fitted.features:
+        fitted.occupation_codes = spark.read.parquet(f"{path}/codes")
     return ScoringModel(fitted, PipelineModel.load(f"{path}/model"), state["params"])
 
 

@@ -1,8 +1,8 @@
 """Fitting and applying the model preprocessing as DataFrame expressions.
 
 Fitted state is a small long table (feature, kind, key, value): medians, scaler moments
-and the occupation codes. It is bounded by the number of features plus the number of
-occupation levels.
+and the occupation codes. Medians and moments are bounded by the number of features; the codes
+are a table.
 """
 
 from __future__ import annotations
@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.assemble import feature_list
-from riskloom.operators.ranks import exact_quantiles, long_numeric
+from riskloom.operators.ranks import exact_quantiles, long_numeric, running_totals
+from riskloom.session import stored
 
 # Tokens and column roles of the preprocessing.
 UNKNOWN = "__UNK__"
@@ -36,8 +37,6 @@ SKEWED = [
     "Loan_Extent",
     "Debt_to_Income",
 ]
-# Levels of a category are collected into the fitted state only up to this many.
-MAX_LEVELS = 10_000
 
 
 def numeric_features(features: Sequence[str]) -> list[str]:
@@ -79,7 +78,10 @@ def fit_ordinal(df: DataFrame, col: str) -> DataFrame:
     data holds nulls the token takes a place in the numbering.
     """
     levels = df.select(F.coalesce(F.col(col), F.lit(UNKNOWN)).alias("value")).distinct()
-    position = F.row_number().over(Window.orderBy("value")) - 1
+    # The number of smaller levels; ranges of levels are ordered side by side.
+    ones = levels.withColumn("n", F.lit(1).cast("bigint"))
+    levels = running_totals(ones, [], "value", ["n"])
+    position = F.col("n_before").cast("int")
     code = F.when(F.col("value") == UNKNOWN, UNKNOWN_CODE).otherwise(position)
     unknown = df.sparkSession.range(1).select(
         F.lit(UNKNOWN).alias("value"), F.lit(UNKNOWN_CODE).alias("code")
@@ -153,7 +155,8 @@ class Preprocessor:
 
     features: list[str]
     medians: dict[str, float] = field(default_factory=dict)
-    occupation_codes: dict[str, int] = field(default_factory=dict)
+    #: (value, code) as a table: it grows with the levels of the category.
+    occupation_codes: DataFrame | None = None
     scale: dict[str, tuple[float, float]] = field(default_factory=dict)
 
     def prepare(self, df: DataFrame) -> DataFrame:
@@ -164,10 +167,10 @@ class Preprocessor:
         columns.update({c: log1p_clipped(columns[c]) for c in SKEWED if c in columns})
         if "Payment_Behaviour" in self.features:
             columns["Payment_Behaviour"] = behaviour_code("Payment_Behaviour")
+        out = df.withColumns(columns)
         if "Occupation" in self.features:
-            value = F.coalesce(F.col("Occupation"), F.lit(UNKNOWN))
-            columns["Occupation"] = ordinal_code(value, self.occupation_codes)
-        return df.withColumns(columns)
+            out = apply_ordinal(out, "Occupation", self.occupation_codes if self.occupation_codes is not None else {})
+        return out
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Model inputs in feature order; all other columns are passed through first."""
@@ -179,16 +182,13 @@ class Preprocessor:
 def fit_preprocessor(train: DataFrame, features: Sequence[str] | None = None) -> Preprocessor:
     """Medians and categories in one pass over the training rows, scaler in a second one.
 
-    What reaches the driver is a few numbers per feature and one code per occupation.
+    What reaches the driver is a few numbers per feature; the codes of the levels stay a table.
     """
     fitted = Preprocessor([c for c in (features or feature_list()) if c in train.columns])
     numeric = numeric_features(fitted.features)
     fitted.medians = {r["feature"]: r["median"] for r in fit_medians(train, numeric).toLocalIterator()}
     if "Occupation" in fitted.features:
-        codes = fit_ordinal(train, "Occupation").limit(MAX_LEVELS + 1).collect()
-        if len(codes) > MAX_LEVELS:
-            raise ValueError("too many occupation levels to encode by a code per level")
-        fitted.occupation_codes = {r["value"]: r["code"] for r in codes}
+        fitted.occupation_codes = stored(fit_ordinal(train, "Occupation"), "codes")
     moments = fit_standardise(fitted.prepare(train), fitted.features)
     fitted.scale = {r["feature"]: (r["mean"], r["std"]) for r in moments.toLocalIterator()}
     return fitted

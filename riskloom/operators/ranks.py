@@ -1,31 +1,50 @@
 """Order statistics over whole columns without a single-task sort.
 
-Quantiles: a bounded sketch brackets each wanted rank, a second pass counts the rows below
-each bracket, and only the few rows inside a bracket are ordered. Nothing else is shuffled.
+Quantiles: a bounded sketch brackets each wanted rank, a second pass counts the rows below and inside each bracket.
+Brackets with more distinct values than one task should order are cut again, by a sketch of the rows inside, until they
+fit. Only rows inside a bracket are ever shuffled.
 
-Ranks of every value: rows collapse to one per distinct value with a row count, so a value
-that holds a third of all rows is one row here. Those rows are cut into slices, summed per
-slice, and ordered inside a slice only.
+Ranks of every value: rows collapse to one per distinct value with a row count, so a value that holds a third of all rows
+is one row here. Those rows are dealt to ranges of values, as many as their number asks for, summed per range, and ordered
+inside a range only.
 
-In both cases the sketch is evaluated once and its result travels along as columns, so all
-later steps see the same boundaries whatever is recomputed. Groups (``by``) are features,
-models or column pairs: one small row each, which is what the broadcasts below hold.
+What later steps rely on (brackets, ranges) is written to the shared folder once, so all of them see the same boundaries
+whatever is recomputed. A null group is a group like others.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_SLICES = 512
+from riskloom.session import stored
+
 ROWS_PER_SLICE = 100_000
 # Rank error of the sketch is 1 / ACCURACY; a bracket is MARGIN wide on either side.
 ACCURACY = 10_000
 MARGIN = 4 / ACCURACY
-# Groups up to this size are bracketed by their whole range.
-SMALL_GROUP = 10_000
+# Where the margin is less than one row a bracket is the whole range of its group.
+SMALL_GROUP = int(1 / MARGIN)
+# Distinct values that one task orders, and the parts into which a larger bracket is cut.
+BRACKET_VALUES = 200_000
+CUTS = 200
+# Groups with brackets are broadcast up to this many, else joined by shuffle.
+BROADCAST_GROUPS = 20_000
+
+
+def _same(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Null-safe join on ``by``, whose columns are kept once; without them, with the one row of ``right``."""
+    names = {c: f"_by_{i}" for i, c in enumerate(by)}
+    right = right.withColumnsRenamed(names)
+    on = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()] or [F.lit(True)]
+    return left.join(right, on, how).drop(*names.values())
+
+
+def _sent(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= BROADCAST_GROUPS else table
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -34,7 +53,12 @@ def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 
 def rank_candidates(
-    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], small: int = SMALL_GROUP
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    small: int = SMALL_GROUP,
+    values: int = BRACKET_VALUES,
 ) -> DataFrame:
     """Rows that can hold the ranks around ``probs``: (by..., i, value, copies, before, n).
 
@@ -63,20 +87,20 @@ def rank_candidates(
         ]
         return F.expr(f"array({', '.join(picks)})")
 
-    brackets = sketch.select(*by, bounds(0, "_min").alias("_los"), bounds(1, "_max").alias("_his"))
-    below = F.expr(f"array({', '.join(f'count_if(_v < _los[{i}])' for i in places)})")
-    known = (
-        rows.join(F.broadcast(brackets), by)
-        .groupBy(*by, "_los", "_his")
-        .agg(F.count("*").alias("n"), below.alias("_below"))
-    )
+    brackets = sketch.select(*by, "n", bounds(0, "_min").alias("_los"), bounds(1, "_max").alias("_his"))
+    known = _counted(rows, stored(brackets, "brackets"), by, len(probs))
+    while True:
+        wide = F.exists(F.arrays_zip("_los", "_his", "_values"), lambda b: (b["_values"] > values) & (b["_los"] < b["_his"]))
+        if known.where(wide).isEmpty():
+            break
+        known = _counted(rows, _cut(rows, known, by, probs, values), by, len(probs))
     # Nearly all rows lie outside every bracket; this compiled test drops them first.
     near = F.expr(" OR ".join(f"_v BETWEEN _los[{i}] AND _his[{i}]" for i in places))
     inside = F.filter(
         F.lit(list(places)),
         lambda i: (F.col("_v") >= F.get("_los", i)) & (F.col("_v") <= F.get("_his", i)),
     )
-    held = rows.join(F.broadcast(known), by).where(near).select(
+    held = _same(rows, _sent(known), by).where(near).select(
         *by, "_v", "n", "_below", F.explode(inside).alias("i")
     )
     counted = held.groupBy(*by, "i", "_v", "n", F.get("_below", "i").alias("_start")).agg(
@@ -87,14 +111,55 @@ def rank_candidates(
     return counted.select(*by, "i", F.col("_v").alias(value), "copies", before.alias("before"), "n")
 
 
+def _counted(rows: DataFrame, brackets: DataFrame, by: Sequence[str], n: int) -> DataFrame:
+    """Brackets with the rows below and inside each, and about how many distinct values are inside; stored."""
+    below = F.expr(f"array({', '.join(f'count_if(_v < _los[{i}])' for i in range(n))})")
+    own = [f"_v BETWEEN _los[{i}] AND _his[{i}]" for i in range(n)]
+    inside = F.expr(f"array({', '.join(f'count_if({x})' for x in own)})")
+    values = F.expr(f"array({', '.join(f'approx_count_distinct(if({x}, _v, null))' for x in own)})")
+    counts = _same(rows, _sent(brackets), by).groupBy(*by, "n", "_los", "_his").agg(
+        below.alias("_below"), inside.alias("_inside"), values.alias("_values")
+    )
+    return stored(counts, "brackets")
+
+
+def _cut(rows: DataFrame, known: DataFrame, by: Sequence[str], probs: Sequence[float], values: int) -> DataFrame:
+    """Narrower brackets for the wide ones: the parts around their ranks in a sketch of the rows inside."""
+    long = known.select(*by, "n", F.posexplode(F.arrays_zip("_los", "_his", "_below", "_inside", "_values")).alias("i", "b"))
+    long = long.select(*by, "n", "i", "b.*")
+    wide = long.where((F.col("_values") > values) & (F.col("_los") < F.col("_his")))
+    grid = [j / CUTS for j in range(1, CUTS)]
+    parts = (
+        _same(rows, _sent(wide), by)
+        .where("_v BETWEEN _los AND _his")
+        .groupBy(*by, "i")
+        .agg(F.percentile_approx("_v", grid, ACCURACY).alias("_s"))
+    )
+    cut = _same(long, parts, [*by, "i"], "left")
+    # Share of the inside rows that lie before the wanted rank.
+    rank = F.get(F.lit(list(probs)), F.col("i")) * (F.col("n") - 1) - F.col("_below")
+    part = F.floor(rank / F.col("_inside") * CUTS).cast("int")
+    low = F.coalesce(F.when(part >= 2, F.get("_s", part - 2)), F.col("_los"))
+    high = F.coalesce(F.when(part + 1 < CUTS - 1, F.get("_s", part + 1)), F.col("_his"))
+    # One entry per wanted rank.
+    new = F.sort_array(F.collect_list(F.struct("i", low.alias("lo"), high.alias("hi"))))
+    arrays = cut.groupBy(*by, "n").agg(new.alias("_b"))
+    return stored(arrays.select(*by, "n", F.col("_b.lo").alias("_los"), F.col("_b.hi").alias("_his")), "brackets")
+
+
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], small: int = SMALL_GROUP
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    small: int = SMALL_GROUP,
+    values: int = BRACKET_VALUES,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: one row per group with ``quantiles`` (array
     in the order of ``probs``) and ``n`` (non-null rows)."""
     by = list(by)
     position = F.get(F.lit(list(probs)), F.col("i")) * (F.col("n") - 1)
-    placed = rank_candidates(df, by, value, probs, small).withColumn("_p", position)
+    placed = rank_candidates(df, by, value, probs, small, values).withColumn("_p", position)
     past = F.col("before") + F.col("copies")
 
     def at(rank: Column) -> Column:
@@ -112,6 +177,18 @@ def exact_quantiles(
     return ends.groupBy(*by, "n").agg(ordered.alias("_o")).select(*by, F.col("_o.q").alias("quantiles"), "n")
 
 
+def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], **options) -> DataFrame:
+    """(by..., quantiles): for each probability the smallest value that has at least that share of the rows."""
+    by = list(by)
+    placed = rank_candidates(df, by, value, probs, **options)
+    wanted = F.greatest(F.ceil(F.round(F.get(F.lit(list(probs)), F.col("i")) * F.col("n"), 6)), F.lit(1))
+    own = placed.where((F.col("before") < wanted) & (wanted <= F.col("before") + F.col("copies")))
+    ordered = F.sort_array(F.collect_list(F.struct("i", F.col(value).alias("q"))))
+    found = own.groupBy(*by).agg(ordered.alias("_o"))
+    complete = F.when(F.size("_o") == len(probs), F.col("_o.q"))
+    return found.select(*by, F.coalesce(complete, F.raise_error(F.lit("rank outside its bracket"))).alias("quantiles"))
+
+
 def running_totals(
     df: DataFrame,
     by: Sequence[str],
@@ -122,43 +199,22 @@ def running_totals(
     """Add ``<s>_before`` (total over smaller values of ``order``) and ``<s>_group`` (total
     over the group) for each column in ``sums``. ``df`` holds one row per (by, order)."""
     by = list(by)
-    probs = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
-    sketch = df.groupBy(*by).agg(
-        F.count("*").alias("_rows"), F.percentile_approx(order, probs, ACCURACY).alias("_s")
-    )
-    # Keep every step-th boundary, so slices of small groups are not tiny.
-    step = F.ceil(F.lit(float(MAX_SLICES)) * rows_per_slice / F.col("_rows")).cast("int")
-    kept = F.filter("_s", lambda _, i: (i + 1) % step == 0)
-    cuts = sketch.select(*by, F.array_distinct(kept).alias("_cuts"))
-
-    def slice_of() -> Column:
-        return F.size(F.filter("_cuts", lambda c: c <= F.col(order))).alias("_slice")
-
-    per_slice = (
-        df.join(F.broadcast(cuts), by)
-        .select(*by, "_cuts", slice_of(), *sums)
-        .groupBy(*by, "_cuts", "_slice")
-        .agg(*[F.sum(s).alias(s) for s in sums])
-    )
-    # At most MAX_SLICES entries per group.
-    known = per_slice.groupBy(*by, "_cuts").agg(
-        F.collect_list(F.struct("_slice", *sums)).alias("_parts")
-    )
-
-    def total(s: str, keep=None) -> Column:
-        parts = F.col("_parts") if keep is None else F.filter("_parts", keep)
-        return F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, p: acc + p[s])
-
-    rows = df.join(F.broadcast(known), by).select(*df.columns, "_cuts", "_parts", slice_of())
-    placed = rows.select(
-        *df.columns,
+    cells = stored(df, "cells")
+    slices = max(1, math.ceil(cells.count() / rows_per_slice))
+    ranged = cells.repartitionByRange(slices, *by, order).withColumn("_slice", F.spark_partition_id())
+    ranged = stored(ranged, "slices")
+    # One row per group and slice.
+    per_slice = ranged.groupBy(*by, "_slice").agg(*[F.sum(s).alias(f"_{s}") for s in sums])
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_slice.select(
+        *by,
         "_slice",
-        *[total(s, lambda p: p["_slice"] < F.col("_slice")).alias(f"_{s}_start") for s in sums],
-        *[total(s).alias(f"{s}_group") for s in sums],
-    )
-    inside = (
-        Window.partitionBy(*by, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        *[F.coalesce(F.sum(f"_{s}").over(earlier), F.lit(0)).alias(f"_{s}_start") for s in sums],
+        *[F.sum(f"_{s}").over(group).alias(f"{s}_group") for s in sums],
     )
+    placed = _same(ranged, starts, [*by, "_slice"])
+    inside = Window.partitionBy(*by, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     before = [
         (F.col(f"_{s}_start") + F.coalesce(F.sum(s).over(inside), F.lit(0))).alias(f"{s}_before")
         for s in sums

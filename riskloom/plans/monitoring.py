@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.decide import alert_records, cooldown, retrain_decision
 from riskloom.operators.drift import monthly_psi, prediction_drift
-from riskloom.sources.tables import MONTH
 
 
 def monitor_scores(
-    base: DataFrame, current: DataFrame, model_name: str, by: Sequence[str] = (), empty: str = "inf"
+    base: DataFrame,
+    current: DataFrame,
+    model_name: str,
+    by: Sequence[str] = (),
+    empty: str = "inf",
+    now: str | None = None,
 ) -> DataFrame:
     """Prediction drift with its alert record, per group of ``by``."""
-    return alert_records(prediction_drift(base, current, model_name, by=by, empty=empty))
+    return alert_records(prediction_drift(base, current, model_name, by=by, empty=empty), now=now)
 
 
 def decide_months(
@@ -26,14 +30,14 @@ def decide_months(
     months: DataFrame,
     model_name: str,
     baseline_from: str | date | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
-    """Monthly payloads with the retrain decision after cool-down, decided on the month date."""
+    """Monthly payloads with the retrain decision after cool-down, decided on the month date.
+
+    ``state`` is the stored cool-down of earlier runs.
+    """
     payloads = monthly_psi(base, predictions, months, baseline_from)
     decided = retrain_decision(payloads).withColumns(
         {"model_name": F.lit(model_name), "decided_on": F.to_date("month", "yyyy-MM")}
     )
-    return cooldown(decided)
-
-
-def months_of(df: DataFrame) -> DataFrame:
-    return df.select(MONTH).distinct()
+    return cooldown(decided, state=state)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on; all of them are plain Spark SQL options.
 SETTINGS = {
@@ -35,7 +35,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", root)
@@ -46,3 +46,10 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,8 +23,11 @@ def write_table(
     partition_by: Sequence[str] = (MONTH,),
     fmt: str = "parquet",
     rebalance: bool = True,
+    months: Sequence[str | date] | None = None,
 ) -> None:
-    """Overwrite exactly the partitions present in ``df``; a rerun replaces its months.
+    """Overwrite the partitions present in ``df``; with ``months`` those of them without rows are emptied as well.
+
+    ``months`` are the months that a run covers, so that a rerun replaces all of them.
 
     The rebalance hint sizes the output files by volume: a month with a third of all rows
     is split over many tasks, small months share one. It costs a shuffle, which input that
@@ -38,6 +41,24 @@ def write_table(
         .format(fmt)
         .save(path)
     )
+    if months is not None:
+        _clear_months(df, path, partition_by, months)
+
+
+def _clear_months(df: DataFrame, path: str, partition_by: Sequence[str], months: Sequence[str | date]) -> None:
+    """Delete the partitions of covered months that ``df`` has no rows for."""
+    spark = df.sparkSession
+    # One row per partition of the table.
+    present = {tuple(map(str, r)) for r in df.select(*partition_by).distinct().collect()}
+    covered = {str(m)[:10] if len(str(m)) > 7 else f"{m}-01" for m in months}
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    pattern = "/".join([path, *[f"{c}=*" for c in partition_by]])
+    for found in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(pattern)) or []:
+        parts = found.getPath().toString().rstrip("/").split("/")[-len(partition_by) :]
+        values = dict(p.split("=", 1) for p in parts)
+        if values.get(MONTH) in covered and tuple(values[c] for c in partition_by) not in present:
+            fs.delete(found.getPath(), True)
 
 
 def ingest_bronze(df: DataFrame, path: str) -> None:

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from riskloom.operators import decide as G
 from riskloom.operators import drift as D
 from riskloom.plans.monitoring import decide_months, monitor_scores
+from riskloom.session import stored
 from riskloom.sources import tables
 from riskloom.workload import views as V
 from riskloom.workload.profiling import top_k_sql
 from riskloom.workload.registry import query
 
-# Sketch accuracy high enough to be exact on the test data.
-EXACT = 100_000
 TENTHS = "[" + ", ".join(f"{p!r}::DOUBLE" for p in D._tenths(10)) + "]"
 INNER = "[" + ", ".join(f"{i / 10!r}::DOUBLE" for i in range(1, 10)) + "]"
 
@@ -122,7 +121,7 @@ def _halves(spark, sf):
     ["order_features"],
 )
 def _(spark, sf):
-    edges = D.psi_edges_quantile(V.order_features(spark, sf), ["amount", "tier"], accuracy=EXACT)
+    edges = D.psi_edges_quantile(V.order_features(spark, sf), ["amount", "tier"])
     return edges.select("feature", F.posexplode("edges").alias("i", "edge")).select(
         "feature", (F.col("i") + 1).cast("bigint").alias("i"), "edge"
     )
@@ -168,7 +167,7 @@ UNION ALL SELECT 'credit_model', DATE '1995-12-01', feature, 'categorical', NULL
 )
 def baseline(spark, sf):
     base, _ = _halves(spark, sf)
-    return D.psi_baseline(base, "credit_model", "1995-12-01", accuracy=EXACT)
+    return D.psi_baseline(base, "credit_model", "1995-12-01")
 
 
 @query("d3_psi_numeric", f"WITH {NUMERIC_A} SELECT snapshot_date, feature, psi FROM psi", ["order_features"], ["psi"])
@@ -198,9 +197,7 @@ FROM (SELECT feature, snapshot_date, 'numeric' AS value_type, psi FROM psi
 @query("d5_feature_psi", FEATURE_PSI, ["order_features"], ["psi"])
 def _(spark, sf):
     _, cur = _halves(spark, sf)
-    return D.feature_psi(
-        cur, baseline(spark, sf), "credit_model", "1995-12-01", ["amount", "tier", "absent"], CATEGORIES
-    )
+    return D.feature_psi(cur, baseline(spark, sf), "credit_model", "1995-12-01")
 
 
 # --- score PSI ------------------------------------------------------------------------------
@@ -274,6 +271,21 @@ drift AS (SELECT 'credit_model' AS model_name, p.snapshot_date, psi, {LEVEL} AS
 DRIFT_DOUBLES = ["psi", *[f"{side}_{n}" for side in ("baseline", "current") for n in ("mean", "std", "min", "max")]]
 
 
+@query(
+    "d10_monthly_psi_prediction",
+    f"""WITH {scheduled_sql(["util_rate"])}
+SELECT strftime(snapshot_date, '%Y-%m') AS month, psi AS overall, psi AS psi_prediction, 'OK' AS status FROM psi""",
+    ["monitored"],
+    ["overall", "psi_prediction"],
+)
+def _(spark, sf):
+    # The names that training and scoring write: compared under one name.
+    base = V.monitored_baseline(spark, sf).select(F.col("util_rate").alias("prediction"))
+    scores = V.monitored(spark, sf).select(F.col("util_rate").alias(" model_predictions "), "snapshot_date")
+    found = D.monthly_psi(base, scores, scores.select("snapshot_date").distinct())
+    return found.select("month", "overall", F.try_element_at("psi", F.lit("prediction")).alias("psi_prediction"), "status")
+
+
 @query("d9_prediction_drift", f"{DRIFT_SQL} SELECT * FROM drift", ["monitored"], DRIFT_DOUBLES)
 def _(spark, sf):
     base, cur = _monitored_halves(spark, sf)
@@ -318,13 +330,14 @@ def _(spark, sf):
     return G.grade_psi(trend(spark, sf).select("snapshot_date", "psi"))
 
 
+NOW = "2002-01-01 06:00:00"
 ALERT_COLUMNS = f"""{LEVEL} AS alert_level,
   CASE {LEVEL} WHEN 'GREEN' THEN 'PASS' WHEN 'YELLOW' THEN 'WARNING' WHEN 'RED' THEN 'CRITICAL' END AS status,
   CASE {LEVEL} WHEN 'GREEN' THEN 'CONTINUE' WHEN 'YELLOW' THEN 'MONITOR' WHEN 'RED' THEN 'RETRAIN' END AS action,
   CASE {LEVEL} WHEN 'GREEN' THEN 'Model is running normally. PSI=' || printf('%.6f', psi)
     WHEN 'YELLOW' THEN 'Minor drift detected. PSI=' || printf('%.6f', psi) || ', please monitor closely'
     WHEN 'RED' THEN 'Significant drift detected. PSI=' || printf('%.6f', psi) || ', recommend immediate retraining' END AS message,
-  {LEVEL} <> 'GREEN' AS notify"""
+  {LEVEL} <> 'GREEN' AS notify, '{NOW}' AS timestamp"""
 
 
 @query(
@@ -334,7 +347,8 @@ ALERT_COLUMNS = f"""{LEVEL} AS alert_level,
     ["psi"],
 )
 def _(spark, sf):
-    return G.alert_records(trend(spark, sf).select("snapshot_date", "psi"))
+    alerts = G.alert_records(trend(spark, sf).select("snapshot_date", "psi"), now=NOW)
+    return alerts.withColumn("timestamp", F.col("timestamp").cast("string"))
 
 
 @query(
@@ -346,15 +360,21 @@ def _(spark, sf):
   CASE status WHEN 'GREEN' THEN 'OK: PSI stable (PSI=' || printf('%.4f', psi) || '). No action needed.'
     WHEN 'YELLOW' THEN 'WARNING: PSI shows moderate drift (PSI=' || printf('%.4f', psi) || '). Monitor next month.'
     ELSE 'URGENT: PSI detected significant drift (PSI=' || printf('%.4f', psi) || '). Triggering model retraining.' END AS message,
-  CASE status WHEN 'GREEN' THEN 'CONTINUE' WHEN 'YELLOW' THEN 'MONITOR' ELSE 'RETRAIN_NOW' END AS recommended_action
+  CASE status WHEN 'GREEN' THEN 'CONTINUE' WHEN 'YELLOW' THEN 'MONITOR' ELSE 'RETRAIN_NOW' END AS recommended_action,
+  '{NOW}' AS timestamp, snapshot_date AS monitoring_date, 'credit_model' AS model_name,
+  0.1::DOUBLE AS threshold_moderate, 0.25::DOUBLE AS threshold_significant
 FROM trend""",
     ["monitored"],
     ["psi"],
 )
 def _(spark, sf):
     rows = trend(spark, sf).select("snapshot_date", "psi")
-    alerts = G.alert_records_detailed(rows, ["team@example.org"], ["ops@example.org"])
-    return alerts.withColumns({c: F.concat_ws(",", c) for c in ("recipients", "channels")})
+    alerts = G.alert_records_detailed(
+        rows, ["team@example.org"], ["ops@example.org"], now=NOW,
+        monitoring_date=F.col("snapshot_date"), model_name="credit_model",
+    )
+    listed = {c: F.concat_ws(",", c) for c in ("recipients", "channels")}
+    return alerts.withColumns({**listed, "timestamp": F.col("timestamp").cast("string")})
 
 
 @query(
@@ -402,6 +422,32 @@ def _(spark, sf):
     return G.cooldown(decided, days=100)
 
 
+@query(
+    "d17_cooldown_stored",
+    f"""WITH RECURSIVE {DECISION_CTE},
+wanted AS (SELECT strptime(month, '%Y-%m')::DATE AS day FROM decision WHERE wants_retrain),
+held AS (SELECT min(day) + 100 AS until FROM wanted),
+ran AS (SELECT min(day) AS day FROM wanted WHERE day >= (SELECT until FROM held)
+  UNION ALL SELECT (SELECT min(w.day) FROM wanted AS w WHERE w.day >= r.day + 14) FROM ran AS r
+    WHERE EXISTS (SELECT 1 FROM wanted AS w WHERE w.day >= r.day + 14))
+SELECT 'credit_model' AS model_name, strptime(month, '%Y-%m')::DATE AS decided_on, wants_retrain,
+  CASE WHEN wants_retrain AND strptime(month, '%Y-%m')::DATE IN (SELECT day FROM ran) THEN 'retrain_model' ELSE 'skip_retrain' END AS branch
+FROM decision""",
+    ["monitored"],
+)
+def _(spark, sf):
+    # The first wanted retrain ran earlier and its state, stored for 100 days, holds the next ones back.
+    decided = stored(
+        G.retrain_decision(payloads(spark, sf)).select(
+            F.lit("credit_model").alias("model_name"), F.to_date("month", "yyyy-MM").alias("decided_on"), "wants_retrain"
+        ),
+        "decisions",
+    )
+    first = decided.where("wants_retrain").groupBy("model_name").agg(F.min("decided_on").alias("decided_on"))
+    earlier = G.cooldown_state(first.withColumn("branch", F.lit("retrain_model")), days=100)
+    return G.cooldown(decided, state=stored(earlier, "cooldown"))
+
+
 @query(
     "d17_cooldown_state",
     f"""WITH {DECISION_CTE}
@@ -425,7 +471,8 @@ def _(spark, sf):
     base, cur = _monitored_halves(spark, sf)
     base = base.select(F.col("util_rate").alias("prediction"))
     cur = cur.select("snapshot_date", F.col("util_rate").alias("model_predictions"))
-    return monitor_scores(base, cur, "credit_model", ["snapshot_date"])
+    found = monitor_scores(base, cur, "credit_model", ["snapshot_date"], now=NOW)
+    return found.withColumn("timestamp", F.col("timestamp").cast("string"))
 
 
 @query(
@@ -450,7 +497,7 @@ def _(spark, sf):
     return G.feature_psi_latest(payloads(spark, sf))
 
 
-MATRIX_MONTHS = [f"{y}-{m:02d}" for y in (1996, 1998, 2000) for m in (1, 7)]
+MATRIX_MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
 
 
 @query(
@@ -483,7 +530,8 @@ def _(spark, sf):
 
 @query(
     "d23_alert_policy",
-    f"""{TREND_SQL} SELECT snapshot_date, psi, level, psi_min, psi_max, policy_status, policy_action, escalation
+    f"""{TREND_SQL} SELECT snapshot_date, psi, level, psi_min, psi_max, policy_status, policy_action, escalation,
+  CASE level WHEN 'yellow' THEN 'team@example.org' WHEN 'red' THEN 'team@example.org,ops@example.org' ELSE '' END AS recipients
 FROM trend LEFT JOIN (VALUES ('green', 0::DOUBLE, 0.1::DOUBLE, 'HEALTHY', 'continue_operation', NULL),
   ('yellow', 0.1::DOUBLE, 0.25::DOUBLE, 'WARNING', 'monitor_closely', 'notify_team_within_1_hour'),
   ('red', 0.25::DOUBLE, 'Infinity'::DOUBLE, 'CRITICAL', 'trigger_retrain', 'immediate_escalation_and_retrain'))
@@ -492,7 +540,9 @@ FROM trend LEFT JOIN (VALUES ('green', 0::DOUBLE, 0.1::DOUBLE, 'HEALTHY', 'conti
     ["psi"],
 )
 def _(spark, sf):
-    return G.apply_policy(trend(spark, sf).select("snapshot_date", "psi"))
+    rows = trend(spark, sf).select("snapshot_date", "psi")
+    sent = G.apply_policy(rows, team=["team@example.org"], escalation=["ops@example.org"])
+    return sent.withColumn("recipients", F.concat_ws(",", "recipients"))
 
 
 @query(

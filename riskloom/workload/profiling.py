@@ -345,7 +345,7 @@ def _(spark, sf):
     rows = V.order_features(spark, sf)
     base = rows.where("snapshot_date < date'1996-01-01'")
     # Accuracy high enough to be exact on the test data.
-    edges = D.psi_edges_quantile(base, ["amount", "tier"], accuracy=100_000)
+    edges = D.psi_edges_quantile(base, ["amount", "tier"])
     return D.bin_frequency(rows, ["amount", "tier"], edges)
 
 

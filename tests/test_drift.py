@@ -127,7 +127,7 @@ def test_feature_psi_with_nulls_and_new_categories(spark):
     cur = spark.createDataFrame(
         [(float(i) if i % 4 else None, "bz"[i % 2]) for i in range(1000)], "x double, c string"
     ).withColumn("snapshot_date", F.lit(date(2024, 5, 1)))
-    table = D.psi_baseline(base, "m", "2024-01-01", accuracy=100_000)
+    table = D.psi_baseline(base, "m", "2024-01-01")
     out = {r["feature"]: r for r in D.feature_psi(cur, table, "m", "2024-01-01", ["x"], ["c"]).collect()}
 
     edges = [-np.inf, *np.quantile(np.arange(1000.0), np.arange(1, 10) / 10, method="inverted_cdf"), np.inf]

@@ -16,7 +16,7 @@ def _tables(spark):
 
 def test_hot_keys_are_found(spark):
     rows, _, _ = _tables(spark)
-    assert [r["k"] for r in hot_keys(rows, ["k"], 0.1, 100).collect()] == [0]
+    assert [tuple(r) for r in hot_keys(rows, ["k"], 100).collect()] == [(0, 11)]
     assert hot_keys(rows, ["k"]).count() == 0
 
 
@@ -24,7 +24,7 @@ def test_salted_join_equals_plain_join(spark):
     rows, lookup, other = _tables(spark)
     for how in ("left", "inner"):
         plain = rows.join(lookup, "k", how).join(other, "k", how)
-        salted = lookup_join(rows, [lookup, other], "k", how, share=0.1, min_rows=100, salts=8)
+        salted = lookup_join(rows, [lookup, other], "k", how, key_rows=100)
         assert salted.columns == plain.columns
         assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
 
@@ -34,7 +34,7 @@ def test_hot_rows_are_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = lookup_join(rows, lookup, "k", share=0.1, min_rows=100, salts=8)
+        joined = lookup_join(rows, lookup, "k", key_rows=100)
         places = joined.where("k = 0").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -46,6 +46,7 @@ def test_rewriting_a_month_leaves_the_others(spark, scratch):
 
 
 def test_month_filter_reaches_the_partitions(spark, scratch):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     path = scratch("table")
     tables.write_table(spark.createDataFrame([("a", date(2023, 1, 1))], "x string, snapshot_date date"), path)
     plan = tables.read_snapshots(spark, path, "2023-01-01", "2023-06-01")._jdf.queryExecution().executedPlan().toString()
