@@ -146,6 +146,34 @@ def _(spark, sf):
     return A.assemble_training(V.labels_silver(spark, sf), V.attrs(spark, sf), V.fins(spark, sf), "1998-03-01")
 
 
+_LAST = """(SELECT * FROM {0} WHERE snapshot_date <= DATE '1998-02-28'
+  QUALIFY row_number() OVER (PARTITION BY "Customer_ID" ORDER BY {1}) = 1)"""
+
+
+@query(
+    "j1_assemble_training_as_of",
+    f"""WITH several AS (SELECT "Customer_ID", snapshot_date, "Age", "Occupation" FROM attrs
+  UNION ALL SELECT "Customer_ID", CAST(snapshot_date - INTERVAL 1 MONTH AS DATE), "Age" + 1, "Occupation" FROM attrs)
+SELECT l."Customer_ID", l.snapshot_date, l.label, l.loan_id, l.label_def, a."Age", a."Occupation", {_FIN}
+FROM label_rows AS l
+LEFT JOIN {_LAST.format("several", 'snapshot_date DESC, "Age" DESC NULLS LAST, "Occupation" DESC NULLS LAST')} AS a
+  ON l."Customer_ID" = a."Customer_ID"
+LEFT JOIN {_LAST.format("fins", "snapshot_date DESC")} AS f ON l."Customer_ID" = f."Customer_ID"
+WHERE l.snapshot_date BETWEEN DATE '1997-01-01' AND DATE '1998-02-28'""",
+    ["label_rows", "attrs", "fins"],
+    _FIN_DOUBLES,
+)
+def _(spark, sf):
+    attributes = V.attrs(spark, sf).select("Customer_ID", "snapshot_date", "Age", "Occupation")
+    older = attributes.withColumns(
+        {"snapshot_date": F.add_months("snapshot_date", -1), "Age": F.col("Age") + 1}
+    )
+    several = attributes.unionByName(older)
+    return A.assemble_training(
+        V.labels_silver(spark, sf), several, V.fins(spark, sf), "1998-03-01", point_in_time=True
+    )
+
+
 @query(
     "j2_assemble_scoring",
     f"""SELECT a."Customer_ID", a.snapshot_date, a."Age", a."Occupation", {_FIN}

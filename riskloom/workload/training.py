@@ -455,3 +455,47 @@ def _(spark, sf):
     path = scratch_dir(spark, "model")
     M.save_model(spark, model, path)
     return M.verify_reload(model, path, rows)
+
+
+# What an oracle can state about the learner: who is scored, the range, equality after reloading, an easy target.
+
+_SCORED = """SELECT strftime(a.snapshot_date, '%Y-%m-%d') AS snapshot_date, count(*) AS n, true AS in_range
+FROM attrs AS a JOIN fins AS f ON a."Customer_ID" = f."Customer_ID" AND a.snapshot_date = f.snapshot_date"""
+
+
+def _covered(scored, name: str):
+    inside = F.coalesce(F.col(name).between(0, 1), F.lit(False))
+    return scored.groupBy("snapshot_date").agg(F.count("*").alias("n"), F.every(inside).alias("in_range"))
+
+
+@query("m3_score_coverage", f"{_SCORED} GROUP BY 1", ["attrs", "fins"])
+def _(spark, sf):
+    rows = _rows(spark, sf)
+    model = M.train_classifier(rows.where("split = 'train'"), params=SMALL)
+    return _covered(M.score(model, known(spark, sf), "credit_model_1998_03_01"), "model_predictions")
+
+
+@query("m4_baseline_coverage", f"{_SCORED} WHERE a.snapshot_date = DATE '1997-12-01' GROUP BY 1", ["attrs", "fins"])
+def _(spark, sf):
+    rows = _rows(spark, sf)
+    model = M.train_classifier(rows.where("split = 'train'"), params=SMALL)
+    month = M.baseline_month(F.lit(TRAIN_DATE).cast("date"))
+    held = known(spark, sf).where(F.col("snapshot_date") == month)
+    return _covered(M.baseline_scores(model, held, "credit_model_1998_03_01"), "prediction")
+
+
+@query("m8_reload_equal", "SELECT unnest(['train', 'test', 'oot']) AS split, true AS equal")
+def _(spark, sf):
+    rows = _rows(spark, sf)
+    model = M.train_classifier(rows.where("split = 'train'"), params=SMALL)
+    path = scratch_dir(spark, "model")
+    M.save_model(spark, model, path)
+    return M.verify_reload(model, path, rows).select("split", "equal")
+
+
+@query("m1_separable_target", "SELECT unnest(['train', 'test', 'oot']) AS split, true AS learned")
+def _(spark, sf):
+    rows = _rows(spark, sf).where("Interest_Rate is not null")
+    easy = rows.withColumn("label", (F.col("Interest_Rate") > 15).cast("int"))
+    model = M.train_classifier(easy.where("split = 'train'"), params=SMALL)
+    return M.evaluate(model, easy).select("split", (F.col("auc") > 0.99).alias("learned"))
