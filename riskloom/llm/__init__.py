@@ -1,5 +1,8 @@
 """Operators for preparing training text.
 
+Columns whose names start with an underscore are working columns: an input column with the same name is replaced and
+dropped.
+
 Executor code of this package is shipped by value, so executors need no installed copy of it.
 """
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.session import scratch_dir
+from riskloom.session import stored
+
+__all__ = ["BLANKS", "BROADCAST_ROWS", "lookup_join", "read_table", "stored"]
 
 # Word characters are everything but the space and the ASCII controls tab to carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -14,13 +16,6 @@ BLANKS = r"[\x20\x09-\x0D]+"
 BROADCAST_ROWS = 50_000
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def lookup_join(rows: DataFrame, lookup: DataFrame, on: Column, how: str = "left") -> DataFrame:
     """Join a stored lookup: broadcast if its counted rows stay below the bound, else left to the skew-aware shuffled join."""
     small = lookup.count() <= BROADCAST_ROWS
@@ -29,7 +24,3 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, on: Column, how: str = "left
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def code_points(text: Column) -> Column:
-    return F.length(text).cast("long")

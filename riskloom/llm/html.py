@@ -280,8 +280,8 @@ def host_paths(pages: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("score").alias("score")
     )
     # min_by over negated counts takes the lower path among equals.
-    winner = F.min_by("path", F.struct(-F.col("n"), -F.col("score"), "path")).alias("_path")
-    return stored(votes.groupBy(F.col("host").alias("_host")).agg(winner), "html-paths")
+    winner = F.min_by("path", F.struct(-F.col("n"), -F.col("score"), "path")).alias("_voted_path")
+    return stored(votes.groupBy(F.col("host").alias("_voted_host")).agg(winner), "html-paths")
 
 
 def extract(pages: DataFrame, paths: DataFrame | None = None) -> DataFrame:
@@ -296,8 +296,8 @@ def extract(pages: DataFrame, paths: DataFrame | None = None) -> DataFrame:
             done = [main_text(parser.parse(h), p) for h, p in zip(html, path, strict=True)]
             yield pd.DataFrame(done, columns=["text", "path"], dtype=object)
 
-    rows = pages.withColumn("_at", host_of(F.col("url")))
-    rows = lookup_join(rows, paths, F.col("_at") == F.col("_host"))
-    rows = rows.withColumn("_read", read(F.col("html"), F.col("_path")))
-    rows = rows.withColumns({"text": F.col("_read")["text"], "path": F.col("_read")["path"]})
-    return rows.drop("_at", "_host", "_path", "_read")
+    rows = pages.withColumn("_voted_at", host_of(F.col("url")))
+    rows = lookup_join(rows, paths, F.col("_voted_at") == F.col("_voted_host"))
+    rows = rows.withColumn("_voted_read", read(F.col("html"), F.col("_voted_path")))
+    rows = rows.withColumns({"text": F.col("_voted_read")["text"], "path": F.col("_voted_read")["path"]})
+    return rows.drop("_voted_at", "_voted_host", "_voted_path", "_voted_read")

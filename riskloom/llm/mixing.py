@@ -55,8 +55,8 @@ def target_rates(
     ``epochs`` is the size of the mixture in corpora.
     """
     chars = F.length(F.coalesce(F.col("text"), F.lit(""))).cast("long")
-    sizes = docs.groupBy(F.col("source").alias("_source")).agg(F.sum(chars).alias("chars"))
-    named = [F.when(F.col("_source") == s, F.lit(float(w))) for s, w in weights.items()]
+    sizes = docs.groupBy(F.col("source").alias("_rated_source")).agg(F.sum(chars).alias("chars"))
+    named = [F.when(F.col("_rated_source") == s, F.lit(float(w))) for s, w in weights.items()]
     weight = F.coalesce(*named, F.lit(float(default_weight)))
     sizes = stored(
         sizes.withColumn("weight", F.when(F.col("chars") > 0, weight).otherwise(0.0)), "mix-sizes"
@@ -75,15 +75,15 @@ def draw(docs: DataFrame, rates: DataFrame, seed: int) -> DataFrame:
     """``docs`` with ``rate`` and ``n_copies``."""
     rows = lookup_join(
         docs.drop("rate", "n_copies"),
-        rates.select("_source", "rate", "parts", "cdf"),
-        F.col("source").eqNullSafe(F.col("_source")),
+        rates.select("_rated_source", "rate", "parts", "cdf"),
+        F.col("source").eqNullSafe(F.col("_rated_source")),
     )
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     below = lambda j: F.size(
         F.filter("cdf", lambda c: c <= uniform(F.lit(seed), doc, j))
     ).cast("long")
     count = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0).cast("long"), lambda n, j: n + below(j))
-    return rows.withColumn("n_copies", count).drop("_source", "parts", "cdf")
+    return rows.withColumn("n_copies", count).drop("_rated_source", "parts", "cdf")
 
 
 def replicate(drawn: DataFrame, seed: int) -> DataFrame:

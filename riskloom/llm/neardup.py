@@ -429,13 +429,13 @@ def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h1", "h2")
     chosen = _classified(docs, settings).groupBy("class").agg(F.min(order).alias("o"))
     chosen = stored(
-        chosen.select(F.col("o.doc_id").alias("_id"), F.col("o.h1").alias("_h1"), F.col("o.h2").alias("_h2")), "join-kept"
+        chosen.select(F.col("o.doc_id").alias("_kept_id"), F.col("o.h1").alias("_kept_h1"), F.col("o.h2").alias("_kept_h2")), "join-kept"
     )
     text = F.coalesce(F.col("text"), F.lit(""))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & (F.xxhash64(text) == F.col("_h1"))
-        & (F.xxhash64(F.lit("second"), text) == F.col("_h2"))
+        F.col("doc_id").eqNullSafe(F.col("_kept_id"))
+        & (F.xxhash64(text) == F.col("_kept_h1"))
+        & (F.xxhash64(F.lit("second"), text) == F.col("_kept_h2"))
     )
     kept = stored(lookup_join(docs, chosen, same, "left_semi"), "join-docs")
     # Only where rows are repeated does the whole row have to be dealt again.

@@ -5,7 +5,7 @@ Jensen-Shannon divergence with the median histogram of all documents of the same
 not compared. Repetition and length rules stand beside it.
 
 Defined results: a null text is empty; a null language is a language of its own; an empty text fails the length rule;
-repeated rows are judged alike, each on its own; other columns pass through untouched.
+repeated rows are judged alike, each on its own; other columns pass through, those named like a result are replaced.
 """
 
 from __future__ import annotations
