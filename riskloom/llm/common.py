@@ -12,8 +12,8 @@ __all__ = ["BLANKS", "BROADCAST_ROWS", "lookup_join", "read_table", "stored"]
 # Word characters are everything but the space and the ASCII controls tab to carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
 
-# A lookup with at most this many narrow rows may be broadcast.
-BROADCAST_ROWS = 50_000
+# A lookup with at most this many narrow rows (some tens of bytes each) may be broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, on: Column, how: str = "left") -> DataFrame:

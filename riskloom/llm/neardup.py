@@ -426,17 +426,18 @@ def jaccard_join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` without near copies: of each class the row with the smallest id stays, one if it is repeated."""
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h1", "h2")
-    chosen = _classified(docs, settings).groupBy("class").agg(F.min(order).alias("o"))
-    chosen = stored(
-        chosen.select(F.col("o.doc_id").alias("_kept_id"), F.col("o.h1").alias("_kept_h1"), F.col("o.h2").alias("_kept_h2")), "join-kept"
-    )
+    row = ["doc_id", "h1", "h2"]
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), *row)
+    rows = _classified(docs, settings).groupBy("class", *row).agg(F.count(F.lit(1)).alias("times"))
+    chosen = rows.groupBy("class").agg(F.min(order).alias("o"), F.min_by("times", order).alias("times"))
+    names = {"doc_id": "_kept_id", "h1": "_kept_h1", "h2": "_kept_h2"}
+    chosen = stored(chosen.select(*[F.col(f"o.{c}").alias(n) for c, n in names.items()], "times"), "join-kept")
     text = F.coalesce(F.col("text"), F.lit(""))
     same = (
         F.col("doc_id").eqNullSafe(F.col("_kept_id"))
         & (F.xxhash64(text) == F.col("_kept_h1"))
         & (F.xxhash64(F.lit("second"), text) == F.col("_kept_h2"))
     )
-    kept = stored(lookup_join(docs, chosen, same, "left_semi"), "join-docs")
-    # Only where rows are repeated does the whole row have to be dealt again.
-    return kept if kept.count() == chosen.count() else kept.dropDuplicates(["doc_id", "text"])
+    kept = lookup_join(docs, chosen.drop("times"), same, "left_semi")
+    # Only where a kept row is repeated does the whole row have to be dealt again.
+    return kept if chosen.filter("times > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
