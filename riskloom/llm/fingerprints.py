@@ -142,54 +142,52 @@ def edited(text: Column, next_text: Column) -> Column:
 
 
 def compared(pairs: DataFrame, room: float) -> DataFrame:
-    """Likeness of the digest arrays ``left`` and ``right`` per key ``range``, ``nr``, ``pair``; null if peeling failed.
+    """Digests that only ``left`` (``gone``) or only ``right`` (``new``) has, per ``range``, ``nr`` and ``pair``.
 
-    Rows must be dealt by ``range``: all aggregations then stay in their partition.
+    ``stuck`` counts the cells that were left over; pairs without any difference have no row. Rows must be dealt by
+    ``range``: all aggregations then stay in their partition. A cell's ``slot`` is its table and its place in it; two more
+    tables of one cell count what was taken out.
     """
-    key = ["range", "nr", "pair"]
     total = F.size("left") + F.size("right")
+    signed = lambda side, n: F.transform(side, lambda d: F.struct(F.lit(n).cast("long").alias("n"), d.alias("k")))
     rows = pairs.select(
-        *key,
-        F.size("left").alias("n_left"),
+        "range",
+        (F.col("nr").cast("long") * 2 + F.col("pair")).alias("key"),
         F.ceil(total * room / TABLES + 16).cast("int").alias("cells"),
-        F.explode(
-            F.concat(
-                F.transform("left", lambda d: F.struct(F.lit(1).alias("n"), d.alias("k"))),
-                F.transform("right", lambda d: F.struct(F.lit(-1).alias("n"), d.alias("k"))),
-            )
-        ).alias("e"),
-    ).select(*key, "n_left", "cells", "e.n", "e.k", _check(F.col("e.k")).alias("c"))
-    cell = lambda t: F.pmod(F.xxhash64("k", F.lit(t)), F.col("cells"))
-    tables = F.array(*[F.struct(F.lit(t).alias("t"), cell(t).alias("cell")) for t in range(TABLES)])
-    rows = rows.withColumn("p", F.explode(tables))
-    group = [*key, "n_left", "cells", "t", "cell"]
+        F.explode(F.concat(signed("left", 1), signed("right", -1))).alias("e"),
+    ).select("range", "key", "cells", "e.n", "e.k", _check(F.col("e.k")).alias("c"))
+    size = 1 << 40
+    slot = lambda t: F.pmod(F.xxhash64("k", F.lit(t)), F.col("cells")) + F.lit(t * size)
+    rows = rows.withColumn("slot", F.explode(F.array(*[slot(t) for t in range(TABLES)])))
+    group = ["range", "key", "cells", "slot"]
 
     def summed(df: DataFrame) -> DataFrame:
         sums = df.groupBy(group).agg(F.sum("n").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c"))
         return sums.filter("n <> 0 or k <> 0 or c <> 0")
 
-    found = TABLES  # recovered digests are kept as one more table
-    rows = summed(rows.select(*key, "n_left", "cells", "p.t", "p.cell", F.col("n").cast("long").alias("n"), "k", "c"))
+    gone, new, nothing = TABLES * size, (TABLES + 1) * size, F.lit(0).cast("long")
+    rows = summed(rows)
     for turn in range(TURNS * TABLES):
         table = turn % TABLES
-        alone = (F.col("t") == table) & (F.abs("n") == 1) & (F.col("c") == _check(F.col("k")))
-        as_is = F.struct("t", "cell", "n")
-        out = [F.struct(F.lit(t).alias("t"), cell(t).alias("cell"), (-F.col("n")).alias("n")) for t in range(TABLES) if t != table]
-        kept = F.struct(F.lit(found).alias("t"), F.col("k").alias("cell"), F.col("n").alias("n"))
-        moves = F.explode(F.when(alone, F.array(kept, *out)).otherwise(F.array(as_is)))
-        rows = summed(
-            rows.select(*key, "n_left", "cells", "k", "c", moves.alias("m")).select(
-                *key, "n_left", "cells", "m.t", "m.cell", "m.n", "k", "c"
-            )
-        )
-    recovered = F.col("t") == found
-    ends = rows.groupBy(*key, "n_left").agg(
-        F.count_if(recovered & (F.col("n") > 0)).alias("gone"),
-        F.count_if(recovered & (F.col("n") < 0)).alias("new"),
-        F.count_if(~recovered).alias("stuck"),
+        within = F.col("slot").between(table * size, (table + 1) * size - 1)
+        alone = within & (F.abs("n") == 1) & (F.col("c") == _check(F.col("k")))
+        as_is = F.struct("slot", "n", "k", "c")
+        tally = F.struct(
+            F.when(F.col("n") > 0, F.lit(gone)).otherwise(F.lit(new)).alias("slot"),
+            F.lit(1).cast("long").alias("n"), nothing.alias("k"), nothing.alias("c"),
+        )
+        out = [
+            F.struct(slot(t).alias("slot"), (-F.col("n")).alias("n"), "k", "c") for t in range(TABLES) if t != table
+        ]
+        moves = F.explode(F.when(alone, F.array(tally, *out)).otherwise(F.array(as_is)))
+        rows = summed(rows.select("range", "key", "cells", moves.alias("m")).select("range", "key", "cells", "m.*"))
+    sums = rows.groupBy("range", "key").agg(
+        F.sum(F.when(F.col("slot") == gone, F.col("n")).otherwise(0)).alias("gone"),
+        F.sum(F.when(F.col("slot") == new, F.col("n")).otherwise(0)).alias("new"),
+        F.count_if(F.col("slot") < gone).alias("stuck"),
     )
-    like = (F.col("n_left") - F.col("gone")) / (F.col("n_left") + F.col("new"))
-    return ends.select(*key, F.when(F.col("stuck") == 0, like).alias("likeness"), (F.col("stuck") > 0).alias("failed"))
+    nr, pair = F.shiftright("key", 1).cast("int"), F.col("key").bitwiseAND(F.lit(1).cast("long")).cast("int")
+    return sums.select("range", nr.alias("nr"), pair.alias("pair"), "gone", "new", "stuck")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -208,28 +206,29 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select("range", "nr", F.explode(both).alias("b")).select("range", "nr", "b.*")
 
 
-def likenesses(rows: DataFrame, room: float = 1.7) -> DataFrame:
-    """Stored likeness of all pairs that differ somewhere; those that fail are tried again with twice the room."""
-    done = stored(compared(_pairs(rows), room), "print-likeness")
-    failed = done.filter("failed")
+def differences(rows: DataFrame, room: float = 1.7) -> DataFrame:
+    """Stored differences of all pairs that differ somewhere; those that fail are tried again with twice the room."""
+    done = stored(compared(_pairs(rows), room), "print-differences")
+    failed = done.filter("stuck > 0")
     while not failed.isEmpty():
         room *= 2
         keys = failed.select("range", "nr", "pair")
         again = rows.join(F.broadcast(keys) if keys.count() < 10_000 else keys, ["range", "nr"], "left_semi")
         again = _pairs(again).join(keys, ["range", "nr", "pair"], "left_semi").repartition("range")
-        more = stored(compared(again, room), "print-likeness")
-        done = done.filter("not failed").unionByName(more)
-        failed = more.filter("failed")
+        more = stored(compared(again, room), "print-differences")
+        done = done.filter("stuck = 0").unionByName(more)
+        failed = more.filter("stuck > 0")
     return done
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_chars``, ``edited_sha256``, both fingerprints, ``near_edited`` and ``near_next`` of every row."""
     rows = neighbours(docs)
-    like = likenesses(rows).groupBy("range", "nr").agg(
+    sides = ("near_edited", "near_next")
+    found = differences(rows).groupBy("range", "nr").agg(
         *[
-            F.max(F.when(F.col("pair") == i, F.col("likeness"))).alias(c)
-            for i, c in enumerate(("near_edited", "near_next"))
+            F.max(F.when(F.col("pair") == i, F.struct("gone", "new"))).alias(side)
+            for i, side in enumerate(sides)
         ]
     )
     changed = edited(F.col("text"), F.col("next_text"))
@@ -239,12 +238,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(changed.cast("binary"), 256).alias("edited_sha256"),
+        F.size(digests(F.col("text"))).alias("_n"),
         shown(digests(F.col("text"))).alias("fingerprint"),
         shown(digests(changed)).alias("edited_fingerprint"),
     )
-    # Pairs without any difference leave no cell behind: they are alike.
-    return shapes.join(like, ["range", "nr"], "left").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        F.coalesce("near_edited", F.lit(1.0)).alias("near_edited"),
-        F.coalesce("near_next", F.lit(1.0)).alias("near_next"),
-    )
+
+    def likeness(side: str) -> Column:
+        """Paragraphs of both over those of either; pairs without any difference left nothing behind."""
+        lost, more = (F.coalesce(F.col(side)[c], F.lit(0)) for c in ("gone", "new"))
+        return F.coalesce(F.try_divide(F.col("_n") - lost, F.col("_n") + more), F.lit(1.0)).alias(side)
+
+    return shapes.join(found, ["range", "nr"], "left").select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *[likeness(side) for side in sides]
+    )
