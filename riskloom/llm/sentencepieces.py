@@ -19,6 +19,7 @@ import struct
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -122,7 +123,7 @@ class Encoding:
 
 
 class _Segments(dict):
-    """Ids of segments as bytes, with ``lead`` put before them; the library is asked when one is first seen.
+    """Ids of segments as bytes, with ``lead`` put before them; the library is asked once for all new ones of a text.
 
     When full, the segments become the older half, from which those that are used again come back.
     """
@@ -130,15 +131,34 @@ class _Segments(dict):
     def __init__(self, library, lead: str = ""):
         self.library, self.lead, self.older = library, lead, {}
 
-    def __missing__(self, segment: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        ids = self.older.get(segment)
-        if ids is None:
-            ids = array("I", self.library.encode(self.lead + segment)).tobytes()
-        self[segment] = ids
-        return ids
+    def ids(self, segments: list[str]) -> list[bytes]:
+        """Ids of each segment; every distinct one is looked up once in the large table."""
+        own = {s: self.get(s) for s in set(segments)}
+        fresh = [s for s, found in own.items() if found is None]
+        if fresh:
+            if len(self) + len(fresh) > REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            known = {s: self.older[s] for s in fresh if s in self.older}
+            new = [s for s in fresh if s not in known]
+            if new:
+                known.update(zip(new, self._asked(new), strict=True))
+            own.update(known)
+            self.update(known)
+        return list(map(own.__getitem__, segments))
+
+    def _asked(self, segments: list[str]) -> Iterator[bytes]:
+        """Ids from the library: of all segments in one line each, where a line feed is one id that no segment has."""
+        feed = self.library.encode("\n")
+        if len(feed) > 1 or any("\n" in s for s in segments):
+            yield from (array("I", self.library.encode(self.lead + s)).tobytes() for s in segments)
+            return
+        ids = array("I", self.library.encode("\n".join([self.lead + s for s in segments]) + "\n"))
+        at = 0
+        for _ in segments:
+            end = ids.index(feed[0], at)
+            yield ids[at:end].tobytes()
+            at = end + 1
 
 
 class Encoder:
@@ -255,12 +275,13 @@ class Encoder:
 
     def _ids(self, normalised: str) -> bytes:
         if not (self.cut_spaces and self.cut_lines) or SPACE * 2 in normalised or normalised.endswith(SPACE):
-            return b"".join(map(self.segments.__getitem__, self.cutter.findall(normalised)))
-        out = []
-        for line in normalised.split("\n"):
-            first, *words = line.split(SPACE)
-            out += [self.segments[first] if first else b"", *map(self.words.__getitem__, words)]
-            out.append(self.segments["\n"])
+            return b"".join(self.segments.ids(self.cutter.findall(normalised)))
+        lines = [line.split(SPACE) for line in normalised.split("\n")]
+        words = iter(self.words.ids([w for first, *own in lines for w in own]))
+        feed, *starts = self.segments.ids(["\n", *[own[0] for own in lines if own[0]]])
+        starts, out = iter(starts), []
+        for own in lines:
+            out += [next(starts) if own[0] else b"", *islice(words, len(own) - 1), feed]
         return b"".join(out[:-1])
 
     def ids(self, text: str | None) -> np.ndarray:
