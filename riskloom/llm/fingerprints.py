@@ -232,15 +232,17 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         ]
     )
     changed = edited(F.col("text"), F.col("next_text"))
+    # The digests are columns of their own: each is read by every cell of the sketch.
+    rows = rows.withColumns({"_a": digests(F.col("text")), "_e": digests(changed)})
     shapes = rows.select(
         "range",
         "nr",
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(changed.cast("binary"), 256).alias("edited_sha256"),
-        F.size(digests(F.col("text"))).alias("_n"),
-        shown(digests(F.col("text"))).alias("fingerprint"),
-        shown(digests(changed)).alias("edited_fingerprint"),
+        F.size("_a").alias("_n"),
+        shown(F.col("_a")).alias("fingerprint"),
+        shown(F.col("_e")).alias("edited_fingerprint"),
     )
 
     def likeness(side: str) -> Column:
