@@ -406,3 +406,19 @@ def test_scores_of_messy_rows(messy, nothing):
     twice = [r for r in got if r.doc_id == 6]
     assert twice[0].score == pytest.approx(twice[1].score) and twice[0].base_score == twice[1].base_score
     assert lm.score(nothing, queries.piece_model()).count() == 0
+
+
+def test_every_training_document_reaches_the_weights(spark):
+    rows = spark.createDataFrame([(i, f"the cat {i} sat on the mat of house {i}") for i in range(20)], "doc_id long, text string")
+    settings = lm.Settings()
+    read = lm._read(lm._rows(rows), queries.piece_model(), settings).cache()
+    counts, _ = lm._vocabulary(read, lm.Encoder(queries.piece_model()).library.get_piece_size(), settings)
+    untrained = lm.train(read.limit(0), counts, settings)
+    learned = [r.doc_id for r in read.filter("kind = 0 and not held_out").select("doc_id").collect()]
+    for i in learned[:6]:
+        model = lm.train(read.filter(F.col("doc_id") == i), counts, settings)
+        assert any((model[k] != untrained[k]).any() for k in model)
+    held = read.filter("held_out")
+    if held.count():
+        model = lm.train(held, counts, settings)
+        assert all((model[k] == untrained[k]).all() for k in model)
