@@ -101,6 +101,26 @@ def test_quality_follows_the_labels(spark, docs):
     assert bad.filter("kept").count() <= 0.05 * bad.count()
 
 
+def test_wrong_language_and_texts_without_common_words_are_rejected(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    measured = stored(quality.measure(rows), "t")
+    references = stored(quality.language_references(measured), "t")
+    good = rows.join(quality.judge(measured, references).filter("kept and n_words >= 100").select("doc_id"), "doc_id")
+    other = F.expr("element_at(map('en', 'de', 'de', 'fr', 'fr', 'es', 'es', 'en'), lang)")
+    common = rf"(?i)(?<![\p{{L}}])({'|'.join(quality.COMMON_WORDS)})(?![\p{{L}}])"
+    for wrong in (good.withColumn("lang", other), good.withColumn("text", F.regexp_replace("text", common, "xyzzy"))):
+        verdicts = quality.judge(stored(quality.measure(wrong), "t"), references)
+        assert verdicts.count() > 300 and verdicts.filter("kept").count() <= 0.01 * verdicts.count()
+
+
+def test_common_words_in_upper_case_and_next_to_punctuation_count(spark):
+    texts = [("The cat, (of) \"THE\" house. of-the «la» --- it",), ("-" * 200_000 + " the",)]
+    counts = [r._common for r in quality.measure(spark.createDataFrame(texts, "text string").withColumn("lang", F.lit("en"))).collect()]
+    place = quality.COMMON_WORDS.index
+    assert [counts[0][place(w)] for w in ("the", "of", "la", "it")] == [2, 1, 1, 1] and counts[0][-1] == 4
+    assert counts[1][place("the")] == 1 and counts[1][-1] == 1
+
+
 def test_divergence_is_jensen_shannon(spark):
     p, q = [0.5, 0.25, 0.25, 0.0], [0.1, 0.2, 0.3, 0.4]
     m = [(x + y) / 2 for x, y in zip(p, q)]
