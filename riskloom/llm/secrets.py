@@ -1,7 +1,7 @@
 """Secret scans: three fixed patterns, and strings that a primed compressor finds new in a sensitive context.
 
-Candidates are long runs of token characters with letters and digits, near a word that announces a credential. A
-candidate's novelty is what it adds to the compressed size of its surroundings, per character, under zstandard primed
+Candidates are long runs of token characters that are not all digits, near a word that announces a credential. A run is
+split at "=" into name and value, padding aside, and what a pattern covers of it is left out. A candidate's novelty is what it adds to the compressed size of its surroundings, per character, under zstandard primed
 with a dictionary of identifiers: names that code or the surroundings already use cost little, random strings cost about
 a byte per character. Candidates above the threshold are reported beside the matches of the patterns, which always stay.
 
@@ -56,6 +56,8 @@ IDENTIFIERS = (
 )
 
 CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
+PART = re.compile(rb"[^=]+(?:=+$)?")
+PART_SIZE = 12
 
 
 @dataclass(frozen=True)
@@ -108,20 +110,31 @@ class Scanner:
         without = len(self.compressor.compress(before + after))
         return (len(self.compressor.compress(before + candidate + after)) - without) / len(candidate)
 
+    def _parts(self, data: bytes, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, int]]:
+        """Start and end of what the patterns leave of the parts of all runs, and where the name before it starts."""
+        taken = sorted(taken)
+        for run in CANDIDATE.finditer(data):
+            own = [(s, e) for s, e, _ in taken if s < run.end() and run.start() < e]
+            name = run.start()
+            for m in PART.finditer(run.group()):
+                at, end = run.start() + m.start(), run.start() + m.end()
+                for s, e in [*own, (end, end)]:
+                    if min(s, end) - at >= PART_SIZE:
+                        yield at, min(s, end), name
+                    at = max(at, e)
+                name = run.start() + m.start()
+
     def _novel(self, data: bytes, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, float]]:
         found, lim = [], self.limits
-        for m in CANDIDATE.finditer(data):
-            start, end = m.span()
-            run = m.group()
-            if not any(48 <= c <= 57 for c in run) or run.isdigit():
-                continue
-            if any(s < end and start < e for s, e, _ in taken):
+        for start, end, name in self._parts(data, taken):
+            part = data[start:end]
+            if part.isdigit():
                 continue
-            near = data[max(0, start - lim.announced_within) : start].lower()
+            near = data[max(0, min(name, start - lim.announced_within)) : start].lower()
             if not any(w in near for w in SENSITIVE):
                 continue
             before, after = data[max(0, start - lim.context) : start], data[end : end + lim.context]
-            value = self.novelty(before, run, after)
+            value = self.novelty(before, part, after)
             if value >= lim.novelty:
                 found.append((start, end, value))
         return found

@@ -304,6 +304,17 @@ def test_novel_strings_near_sensitive_words():
     assert kinds(f"{name} = {name}({name}) # the session key of {name}") == []
 
 
+def test_values_after_their_name_letters_only_and_what_patterns_leave():
+    scanner = secrets.Scanner(secrets.Limits())
+    found = lambda t: [(s[0], t[s[1] : s[2]]) for s in scanner.scan(t)]
+    for name in ("PRIVATE_KEY", "pwd", "signature", "session", "credential"):
+        assert found(f"{name}=Zk39xQv81LmT0pRw7") == [("novel", "Zk39xQv81LmT0pRw7")]
+    assert found("x auth_key: Zk39xQv81LmT0pRw7A==") == [("novel", "Zk39xQv81LmT0pRw7A==")]
+    assert found("Bearer qZpLxWvRtYuKeBnMcHdG") == [("novel", "qZpLxWvRtYuKeBnMcHdG")]
+    left = "private key 0123456789abcdef_Zk39xQv81LmT0pRw7"
+    assert found(left) == [("hex", "0123456789abcdef"), ("novel", "_Zk39xQv81LmT0pRw7")]
+
+
 def test_redaction_masks_and_counts(messy, spark):
     rows = messy.withColumn("n_chars", F.lit(0).cast("long"))
     out = {r.doc_id: r for r in secrets.redact(rows).collect()}
