@@ -44,7 +44,7 @@ class Rules:
 
     A short text's histogram strays by chance: the limits are raised by ``noise_words`` and ``word_noise_words`` / number
     of words. The word limit lies between good texts (99 in 100 of 200 words stray less than 0.04) and texts without any
-    common word (0.11 to 0.12, common words hold a sixth of the words).
+    common word (0.11 to 0.12).
     """
 
     min_words: int = 50
