@@ -8,8 +8,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, fingerprints, html, lm, mixing, neardup, quality, secrets, sentencepieces, urls
-from riskloom.llm.common import read_table, stored
+from riskloom.llm import (
+    chat,
+    fingerprints,
+    html,
+    lm,
+    mixing,
+    neardup,
+    periods,
+    quality,
+    secrets,
+    sentencepieces,
+    simhash,
+    urls,
+    whitening,
+)
+from riskloom.llm.common import BLANKS, read_table, stored
 
 
 @dataclass(frozen=True)
@@ -210,3 +224,55 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_attention_lm")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model())
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by a hash of its id, repeats one stretch of its words from some word on to its end.
+
+    With h the hash, g = floor(h / 10) and n words, the stretch starts at word a = g % n and has
+    1 + floor((n - a) / (3 + g % 8)) words. Other texts, and texts without words, stay as they are.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split("text", BLANKS), "")
+    rows = docs.withColumns({"_h": h, "_words": F.when(h % 10 == 0, words)})
+    n = F.size("_words")
+    rows = rows.withColumn("_g", F.floor(F.col("_h") / 10)).withColumn("_a", F.when(n > 0, F.col("_g") % n).cast("int"))
+    period = F.floor((n - F.col("_a")) / (3 + F.col("_g") % 8)).cast("int") + 1
+    rows = rows.withColumn("_p", period)
+    times = F.ceil((n - F.col("_a")) / F.col("_p")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("_words", F.col("_a") + 1, F.col("_p")), times))
+    tail = F.slice(tail, F.lit(1), n - F.col("_a"))
+    edited = F.array_join(F.concat(F.slice("_words", F.lit(1), F.col("_a")), tail), " ")
+    changed = F.when(F.col("_a").isNotNull(), edited).otherwise(F.col("text"))
+    return rows.select(*[changed.alias(c) if c == "text" else c for c in docs.columns])
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periods.find_runs(repeated_tails(docs)).withColumn("_best", periods.strongest(F.col("runs")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = lambda c: F.col(f"_best.{c}")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best(c).alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * best("length") / best("period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    )
+
+
+@query("op13_simhash_trees")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs)
