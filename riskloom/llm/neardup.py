@@ -63,17 +63,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes, about, of the word hashes that a task remembers, and what one takes beside its word.
+REMEMBERED = 24 << 20
+ENTRY = 180
+
+
 class Shingler:
     """Sorted 64-bit shingle hashes of texts. Word hashes are remembered within a task."""
 
     def __init__(self, words: int):
-        self.words, self.known = words, {}
+        self.words, self.known, self.bytes = words, {}, 0
 
     def _word(self, word: bytes) -> int:
         import xxhash
 
-        if len(self.known) >= 1_000_000:
+        if self.bytes > REMEMBERED:
             self.known.clear()
+            self.bytes = 0
+        self.bytes += ENTRY + len(word)
         value = self.known[word] = xxhash.xxh64_intdigest(word)
         return value
 

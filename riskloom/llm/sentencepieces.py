@@ -23,13 +23,19 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SPACE = "▁"
 
-#: Segments in each half of what a task remembers.
-REMEMBERED = 400_000
+#: Bytes, about, of each half of the segments that a task remembers, and what one takes beside its characters.
+REMEMBERED = 16 << 20
+ENTRY = 200
+
+#: Rows whose ids a task holds at once.
+PART_ROWS = 200
 
 CONTROL = 3  # piece type in the model file
 BYTE = 6
@@ -129,15 +135,15 @@ class _Segments(dict):
     """
 
     def __init__(self, library, lead: str = ""):
-        self.library, self.lead, self.older = library, lead, {}
+        self.library, self.lead, self.older, self.bytes = library, lead, {}, 0
 
     def ids(self, segments: list[str]) -> list[bytes]:
         """Ids of each segment; every distinct one is looked up once in the large table."""
         own = {s: self.get(s) for s in set(segments)}
         fresh = [s for s, found in own.items() if found is None]
         if fresh:
-            if len(self) + len(fresh) > REMEMBERED:
-                self.older = dict(self)
+            if self.bytes > REMEMBERED:
+                self.older, self.bytes = dict(self), 0
                 self.clear()
             known = {s: self.older[s] for s in fresh if s in self.older}
             new = [s for s in fresh if s not in known]
@@ -145,6 +151,8 @@ class _Segments(dict):
                 known.update(zip(new, self._asked(new), strict=True))
             own.update(known)
             self.update(known)
+            # An id has four bytes, a character up to four.
+            self.bytes += sum(ENTRY + 4 * len(s) + len(ids) for s, ids in known.items())
         return list(map(own.__getitem__, segments))
 
     def _asked(self, segments: list[str]) -> Iterator[bytes]:
@@ -339,24 +347,31 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
 
 
 def training_ids(docs: DataFrame, model_path: str) -> DataFrame:
-    """``docs`` with ``ids``, begin and end included, ``n_tokens``, and whether decoding gives the text back."""
+    """``docs`` with ``ids``, begin and end included, ``n_tokens``, and ``round_trip``, whether decoding gives the text
+    back, in place of ``text``. A task holds the ids of some hundred rows at a time.
+    """
+    others = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "round_trip")]
+    fields = ["ids array<int>", "n_tokens bigint", "round_trip boolean"]
+    schema = StructType(docs.select(*others).schema.fields + StructType.fromDDL(", ".join(fields)).fields)
 
-    @F.pandas_udf("struct<ids: array<int>, round_trip: boolean>")
-    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model_path)
-        for texts in batches:
-            ids = [encoder.ids(t) for t in texts]
-            same = [encoder.decode(x) == (t or "") for x, t in zip(ids, texts, strict=True)]
-            yield pd.DataFrame({"ids": [x.astype(np.int32) for x in ids], "round_trip": same})
-
-    rows = docs.withColumn("_read", both(F.col("text")))
-    return rows.withColumns(
-        {
-            "ids": F.col("_read")["ids"],
-            "n_tokens": F.size(F.col("_read")["ids"]).cast("long"),
-            "round_trip": F.col("_read")["round_trip"],
-        }
-    ).drop("_read")
+        for batch in batches:
+            for start in range(0, batch.num_rows, PART_ROWS):
+                part = batch.slice(start, PART_ROWS)
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                ids = [encoder.ids(t) for t in texts]
+                same = [encoder.decode(x) == t for x, t in zip(ids, texts, strict=True)]
+                sizes = [len(x) for x in ids]
+                ends = pa.array(np.cumsum([0, *sizes]), type=pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids).view(np.int32)))
+                columns = [part.column(c) for c in others]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, lists, pa.array(sizes, type=pa.int64()), pa.array(same)],
+                    names=[*others, "ids", "n_tokens", "round_trip"],
+                )
+
+    return docs.select(*others, "text").mapInArrow(both, schema)
 
 
 def _hex(data: bytes) -> str:
