@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.months import as_date
+from riskloom.operators.asof import asof_join
 from riskloom.operators.joins import lookup_join
 from riskloom.operators.ranks import SMALL_GROUP, rank_candidates
 from riskloom.sources.tables import MONTH, select_present
@@ -120,6 +121,34 @@ def assemble_training(
     return select_present(joined, [*LABEL_COLUMNS, *feature_list()])
 
 
+def assemble_training_per_row(
+    labels: DataFrame,
+    attributes: DataFrame,
+    financials: DataFrame,
+    train_date: str | date,
+    train_months: int = TRAIN_MONTHS,
+    oot_months: int = OOT_MONTHS,
+    strict: bool = False,
+) -> DataFrame:
+    """Labels of both windows, each with the features last known on its own day (``strict``: before it).
+
+    No label sees a later snapshot than its own, so what is trained on is what a score of that day could have used.
+    Every label row is returned once.
+    """
+    bounds = window_columns(as_date(train_date), train_months, oot_months)
+    inside = select_present(labels, LABEL_COLUMNS).where(
+        F.col(MONTH).between(bounds["train_start"], bounds["oot_end"])
+    )
+
+    def known(features: DataFrame, cols: Sequence[str]) -> DataFrame:
+        kept = select_present(features, ["Customer_ID", MONTH, *cols])
+        return kept.where(F.col(MONTH) <= bounds["oot_end"])
+
+    tables = [known(attributes, ATTRIBUTE_FEATURES), known(financials, FINANCIAL_FEATURES)]
+    joined = asof_join(inside, tables, "Customer_ID", MONTH, strict)
+    return select_present(joined, [*LABEL_COLUMNS, *feature_list()])
+
+
 def last_snapshot(features: DataFrame) -> DataFrame:
     """One row per customer, of its last month; of several in that month the largest. Summed before the shuffle."""
     cols = [c for c in features.columns if c not in ("Customer_ID", MONTH)]

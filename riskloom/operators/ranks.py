@@ -1,8 +1,9 @@
 """Order statistics over whole columns without a single-task sort.
 
-Quantiles: a bounded sketch brackets each wanted rank, a second pass counts the rows below and inside each bracket.
-Brackets with more distinct values than one task should order are cut again, by a sketch of the rows inside, until they
-fit. Only rows inside a bracket are ever shuffled.
+Quantiles: a bounded sketch brackets each wanted rank, a second pass counts the rows below and inside each bracket. Only
+rows inside a bracket are ever shuffled, one per distinct value; where a bracket has more of them than one task should
+order, they are dealt to ranges of values and totalled range by range, in a fixed number of passes however they are
+distributed.
 
 Ranks of every value: rows collapse to one per distinct value with a row count, so a value that holds a third of all rows
 is one row here. Those rows are dealt to ranges of values, as many as their number asks for, summed per range, and ordered
@@ -28,9 +29,8 @@ ACCURACY = 10_000
 MARGIN = 4 / ACCURACY
 # Where the margin is less than one row a bracket is the whole range of its group.
 SMALL_GROUP = int(1 / MARGIN)
-# Distinct values that one task orders, and the parts into which a larger bracket is cut.
+# Distinct values that one task orders.
 BRACKET_VALUES = 200_000
-CUTS = 200
 # Groups with brackets are broadcast up to this many, else joined by shuffle.
 BROADCAST_GROUPS = 20_000
 
@@ -89,11 +89,6 @@ def rank_candidates(
 
     brackets = sketch.select(*by, "n", bounds(0, "_min").alias("_los"), bounds(1, "_max").alias("_his"))
     known = _counted(rows, stored(brackets, "brackets"), by, len(probs))
-    while True:
-        wide = F.exists(F.arrays_zip("_los", "_his", "_values"), lambda b: (b["_values"] > values) & (b["_los"] < b["_his"]))
-        if known.where(wide).isEmpty():
-            break
-        known = _counted(rows, _cut(rows, known, by, probs, values), by, len(probs))
     # Nearly all rows lie outside every bracket; this compiled test drops them first.
     near = F.expr(" OR ".join(f"_v BETWEEN _los[{i}] AND _his[{i}]" for i in places))
     inside = F.filter(
@@ -106,9 +101,13 @@ def rank_candidates(
     counted = held.groupBy(*by, "i", "_v", "n", F.get("_below", "i").alias("_start")).agg(
         F.count("*").alias("copies")
     )
-    earlier = Window.partitionBy(*by, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("_start") + F.coalesce(F.sum("copies").over(earlier), F.lit(0))
-    return counted.select(*by, "i", F.col("_v").alias(value), "copies", before.alias("before"), "n")
+    if known.where(F.array_max("_values") > values).isEmpty():
+        earlier = Window.partitionBy(*by, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+        placed = counted.withColumn("copies_before", F.coalesce(F.sum("copies").over(earlier), F.lit(0)))
+    else:
+        placed = running_totals(counted, [*by, "i"], "_v", ["copies"], values)
+    before = F.col("_start") + F.col("copies_before")
+    return placed.select(*by, "i", F.col("_v").alias(value), "copies", before.alias("before"), "n")
 
 
 def _counted(rows: DataFrame, brackets: DataFrame, by: Sequence[str], n: int) -> DataFrame:
@@ -123,30 +122,6 @@ def _counted(rows: DataFrame, brackets: DataFrame, by: Sequence[str], n: int) ->
     return stored(counts, "brackets")
 
 
-def _cut(rows: DataFrame, known: DataFrame, by: Sequence[str], probs: Sequence[float], values: int) -> DataFrame:
-    """Narrower brackets for the wide ones: the parts around their ranks in a sketch of the rows inside."""
-    long = known.select(*by, "n", F.posexplode(F.arrays_zip("_los", "_his", "_below", "_inside", "_values")).alias("i", "b"))
-    long = long.select(*by, "n", "i", "b.*")
-    wide = long.where((F.col("_values") > values) & (F.col("_los") < F.col("_his")))
-    grid = [j / CUTS for j in range(1, CUTS)]
-    parts = (
-        _same(rows, _sent(wide), by)
-        .where("_v BETWEEN _los AND _his")
-        .groupBy(*by, "i")
-        .agg(F.percentile_approx("_v", grid, ACCURACY).alias("_s"))
-    )
-    cut = _same(long, parts, [*by, "i"], "left")
-    # Share of the inside rows that lie before the wanted rank.
-    rank = F.get(F.lit(list(probs)), F.col("i")) * (F.col("n") - 1) - F.col("_below")
-    part = F.floor(rank / F.col("_inside") * CUTS).cast("int")
-    low = F.coalesce(F.when(part >= 2, F.get("_s", part - 2)), F.col("_los"))
-    high = F.coalesce(F.when(part + 1 < CUTS - 1, F.get("_s", part + 1)), F.col("_his"))
-    # One entry per wanted rank.
-    new = F.sort_array(F.collect_list(F.struct("i", low.alias("lo"), high.alias("hi"))))
-    arrays = cut.groupBy(*by, "n").agg(new.alias("_b"))
-    return stored(arrays.select(*by, "n", F.col("_b.lo").alias("_los"), F.col("_b.hi").alias("_his")), "brackets")
-
-
 def exact_quantiles(
     df: DataFrame,
     by: Sequence[str],

@@ -174,6 +174,47 @@ def _(spark, sf):
     )
 
 
+# Snapshots before and after those of the views: the later ones must not reach earlier labels.
+_AROUND = """{0}_around AS (SELECT * FROM {0}
+  UNION ALL SELECT * REPLACE (CAST(snapshot_date - INTERVAL 7 MONTH AS DATE) AS snapshot_date, "{1}" + 1 AS "{1}") FROM {0}
+  UNION ALL SELECT * REPLACE (CAST(snapshot_date + INTERVAL 2 MONTH AS DATE) AS snapshot_date, "{1}" + 2 AS "{1}") FROM {0}),
+{0}_once AS (SELECT * FROM {0}_around QUALIFY row_number() OVER (PARTITION BY "Customer_ID", snapshot_date ORDER BY {2}) = 1)"""
+
+
+def _per_row_sql(compare: str) -> str:
+    fins_order = ", ".join(f'"{c}" DESC NULLS LAST' for c in A.FINANCIAL_FEATURES)
+    attrs_order = '"Age" DESC NULLS LAST, "Occupation" DESC NULLS LAST'
+    return f"""WITH {_AROUND.format("attrs", "Age", attrs_order)},
+{_AROUND.format("fins", "Interest_Rate", fins_order)}
+SELECT l."Customer_ID", l.snapshot_date, l.label, l.loan_id, l.label_def, a."Age", a."Occupation", {_FIN}
+FROM (SELECT * FROM label_rows WHERE snapshot_date BETWEEN DATE '1997-01-01' AND DATE '1998-02-28') AS l
+ASOF LEFT JOIN attrs_once AS a ON l."Customer_ID" = a."Customer_ID" AND l.snapshot_date {compare} a.snapshot_date
+ASOF LEFT JOIN fins_once AS f ON l."Customer_ID" = f."Customer_ID" AND l.snapshot_date {compare} f.snapshot_date"""
+
+
+def _around(table, column: str):
+    moved = [table]
+    for months, more in ((-7, 1), (2, 2)):
+        changed = {"snapshot_date": F.add_months("snapshot_date", months), column: F.col(column) + more}
+        moved.append(table.withColumns(changed))
+    return moved[0].unionByName(moved[1]).unionByName(moved[2])
+
+
+def _per_row(spark, sf, strict: bool):
+    attributes, financials = _around(V.attrs(spark, sf), "Age"), _around(V.fins(spark, sf), "Interest_Rate")
+    return A.assemble_training_per_row(V.labels_silver(spark, sf), attributes, financials, "1998-03-01", strict=strict)
+
+
+@query("j1_assemble_training_per_row", _per_row_sql(">="), ["label_rows", "attrs", "fins"], _FIN_DOUBLES)
+def _(spark, sf):
+    return _per_row(spark, sf, strict=False)
+
+
+@query("j1_assemble_training_before_row", _per_row_sql(">"), ["label_rows", "attrs", "fins"], _FIN_DOUBLES)
+def _(spark, sf):
+    return _per_row(spark, sf, strict=True)
+
+
 @query(
     "j2_assemble_scoring",
     f"""SELECT a."Customer_ID", a.snapshot_date, a."Age", a."Occupation", {_FIN}
