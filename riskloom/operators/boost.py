@@ -20,7 +20,7 @@ import json
 import math
 import random
 import sys
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
@@ -38,6 +38,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BINS = 32
 UNIT = 1 << 24
 STORE_EVERY = 10
+# Quantiles that are looked for at once.
+PROBS = 16
 # Sums of this many tasks are merged at once.
 FAN_IN = 64
 # Least gain that counts as one.
@@ -108,21 +110,21 @@ class BoostedTrees:
     trees: list[Tree]
     params: Params
 
-    def margin(self) -> Column:
-        """Log odds as one compiled expression."""
+    def scored(self, df: DataFrame, name: str, probability: bool = True) -> DataFrame:
+        """``df`` with the probability, else the log odds, as ``name``: one compiled expression over its columns."""
+        used = sorted({f for t in self.trees for f in t.feature if f >= 0})
+        numbers = {f"_f{i}": F.nullif(F.col(self.features[i]).cast("double"), F.lit(float("nan"))) for i in used}
 
         def node(tree: Tree, i: int) -> str:
-            if tree.feature[i] < 0:
+            f = tree.feature[i]
+            if f < 0:
                 return f"{tree.value[i]!r}D"
-            name = self.features[tree.feature[i]].replace("`", "``")
-            edge = f"{self.edges[tree.feature[i]][tree.cut[i]]!r}D"
-            value = f"nullif(double(`{name}`), double('NaN'))"
-            return f"if(coalesce({value} > {edge}, false), {node(tree, 2 * i + 2)}, {node(tree, 2 * i + 1)})"
+            # A null is not above the edge.
+            return f"if(_f{f} > {self.edges[f][tree.cut[i]]!r}D, {node(tree, 2 * i + 2)}, {node(tree, 2 * i + 1)})"
 
-        return F.expr(" + ".join(["0.0D", *(node(t, 0) for t in self.trees)]))
-
-    def probability(self) -> Column:
-        return 1 / (1 + F.exp(-self.margin()))
+        margin = F.expr(" + ".join(["0.0D", *(node(t, 0) for t in self.trees)]))
+        value = 1 / (1 + F.exp(-margin)) if probability else margin
+        return df.withColumns(numbers).withColumn(name, value).drop(*numbers)
 
     def splits(self) -> list[tuple]:
         """(tree, node, feature, threshold, gain, value) of every node that was reached."""
@@ -148,11 +150,15 @@ class BoostedTrees:
 def feature_edges(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list[list[float]]:
     """Distinct exact quantiles of every feature, at most ``bins`` - 1 each, without its largest value."""
     probs = [i / bins for i in range(1, bins)]
-    rows = long_numeric(df, features)
-    found = exact_percentiles(rows, ["feature"], "value", probs)
-    largest = rows.groupBy("feature").agg(F.max("value").alias("largest"))
-    known = {r.feature: sorted({q for q in r.quantiles if q < r.largest}) for r in found.join(largest, "feature").collect()}
-    return [known.get(f, []) for f in features]
+    rows = stored(long_numeric(df, features), "boost-values")
+    # Some quantiles at a time, so that the counting expressions stay compiled.
+    parts = [exact_percentiles(rows, ["feature"], "value", probs[i : i + PROBS]) for i in range(0, len(probs), PROBS)]
+    found: dict[str, set[float]] = {}
+    for part in parts:
+        for r in part.collect():
+            found.setdefault(r.feature, set()).update(r.quantiles)
+    largest = {r.feature: r.largest for r in rows.groupBy("feature").agg(F.max("value").alias("largest")).collect()}
+    return [sorted(q for q in found.get(f, ()) if q < largest[f]) for f in features]
 
 
 def binned_rows(
@@ -247,8 +253,8 @@ def _total(sums: pd.Series) -> np.ndarray:
     return total
 
 
-def best_splits(g: np.ndarray, h: np.ndarray, params: Params) -> list[tuple[int, int, float, float, float]]:
-    """Per node of sums (node, feature, bin): feature (-1: none), cut, gain, and G and H of the node."""
+def best_splits(g: np.ndarray, h: np.ndarray, params: Params) -> list[tuple[int, int, float, float, float, float, float]]:
+    """Per node of sums (node, feature, bin): feature (-1: none), cut, gain, G and H of the node and of its left side."""
 
     def score(a, b):
         small = np.maximum(np.abs(a) - params.reg_alpha, 0)
@@ -265,8 +271,9 @@ def best_splits(g: np.ndarray, h: np.ndarray, params: Params) -> list[tuple[int,
         f, cut = np.unravel_index(int(gain.argmax()), gain.shape) if gain.size else (-1, 0)
         best = float(gain[f, cut]) if gain.size else -math.inf
         if best <= max(params.gamma, NO_GAIN):
-            f, cut, best = -1, 0, 0.0
-        out.append((int(f), int(cut), best, float(whole_g), float(whole_h)))
+            out.append((-1, 0, 0.0, float(whole_g), float(whole_h), 0.0, 0.0))
+        else:
+            out.append((int(f), int(cut), best, float(whole_g), float(whole_h), float(left_g[f, cut]), float(left_h[f, cut])))
     return out
 
 
@@ -293,11 +300,11 @@ def _splits_of_level(rows: DataFrame, models: list[Model], growing: dict, n_feat
         _, level, cols = growing[m]
         g, h = _total(group.sums).reshape(2, 2**level, len(cols), bins) / UNIT
         found = best_splits(g, h, models[m].params)
-        out = pd.DataFrame(found, columns=["feature", "cut", "gain", "g", "h"])
+        out = pd.DataFrame(found, columns=["feature", "cut", "gain", "g", "h", "left_g", "left_h"])
         out["feature"] = [cols[f] if f >= 0 else -1 for f in out.feature]
         return out.assign(model=m, node=range(len(out)))
 
-    schema = "feature int, cut int, gain double, g double, h double, model int, node int"
+    schema = "feature int, cut int, gain double, g double, h double, left_g double, left_h double, model int, node int"
     found: dict[int, list] = {}
     # Some numbers per model and node.
     for r in sums.groupBy("model").applyInPandas(choose, schema).collect():
@@ -328,23 +335,23 @@ def grow(
         trees = {m: Tree.empty(models[m].params.max_depth) for m in open_models}
         columns = {m: models[m].columns(n_features, seed) for m in open_models}
         active = set(open_models)
-        for level in range(max(models[m].params.max_depth for m in open_models) + 1):
-            growing = {m: (trees[m], level, columns[m]) for m in active}
+        for level in range(max(models[m].params.max_depth for m in open_models)):
+            growing = {m: (trees[m], level, columns[m]) for m in active if level < models[m].params.max_depth}
             if not growing:
                 break
-            split = set()
+            active = set()
             for m, nodes in _splits_of_level(rows, models, growing, n_features, bins, seed).items():
                 tree, params = trees[m], models[m].params
                 for r in nodes:
                     i = 2**level - 1 + r.node
-                    parent = (i - 1) // 2
-                    if level and tree.feature[parent] < 0:
+                    if not level:
+                        tree.value[0] = _weight(r.g, r.h, params)
+                    if r.feature < 0 or level and tree.feature[(i - 1) // 2] < 0:
                         continue
-                    tree.value[i] = _weight(r.g, r.h, params)
-                    if level < params.max_depth and r.feature >= 0:
-                        tree.feature[i], tree.cut[i], tree.gain[i] = r.feature, r.cut, r.gain
-                        split.add(m)
-            active = split
+                    tree.feature[i], tree.cut[i], tree.gain[i] = r.feature, r.cut, r.gain
+                    tree.value[2 * i + 1] = _weight(r.left_g, r.left_h, params)
+                    tree.value[2 * i + 2] = _weight(r.g - r.left_g, r.h - r.left_h, params)
+                    active.add(m)
         for m in open_models:
             models[m].trees.append(trees[m])
         if any(len(x.trees) - x.stored >= STORE_EVERY for x in models):
@@ -435,6 +442,3 @@ def search(
     order = sorted(reached, key=lambda c: (-reached[c][0], -reached[c][1], c))
     return Search([(c, candidates[c], *reached[c]) for c in order], kept_scores)
 
-
-def as_params(point: Mapping[str, object]) -> Params:
-    return Params(**point)

@@ -1,37 +1,34 @@
-"""Training, scoring and checking of the classifier with Spark ML."""
+"""Training, scoring and checking of the boosted-tree classifier."""
 
 from __future__ import annotations
 
 import json
 import random
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from dataclasses import asdict, dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.operators import boost
 from riskloom.operators.assemble import split_hash, window_columns
+from riskloom.operators.boost import BoostedTrees, Params
 from riskloom.operators.preprocess import Preprocessor, fit_preprocessor
 from riskloom.operators.ranks import auc
-from riskloom.session import shared_root
+from riskloom.session import stored
 
-# Search space and seeds. The learner has no weight penalties, so the two
-# regularisation axes have no counterpart here.
+# Search space, draws, folds and seed.
 SEED = 42
 SEARCH_SPACE: dict[str, list] = {
-    "maxIter": [25, 50],
-    "maxDepth": [2, 3],
-    "stepSize": [0.01, 0.1],
-    "subsamplingRate": [0.6, 0.8],
-    "featureSubsetStrategy": ["0.6", "0.8"],
-    "minInfoGain": [0.0, 0.1],
-    "minInstancesPerNode": [1, 3, 5],
+    "n_estimators": [25, 50],
+    "max_depth": [2, 3],
+    "learning_rate": [0.01, 0.1],
+    "subsample": [0.6, 0.8],
+    "colsample_bytree": [0.6, 0.8],
+    "gamma": [0, 0.1],
+    "min_child_weight": [1, 3, 5],
+    "reg_alpha": [0, 0.1, 1],
+    "reg_lambda": [1, 1.5, 2],
 }
 SEARCH_DRAWS = 100
 FOLDS = 3
@@ -39,34 +36,25 @@ FOLDS = 3
 
 @dataclass
 class ScoringModel:
-    """Fitted preprocessing with the fitted Spark ML model."""
+    """Fitted preprocessing with the fitted trees."""
 
     preprocessor: Preprocessor
-    model: PipelineModel
+    model: BoostedTrees
     params: dict[str, object]
 
     def probabilities(self, df: DataFrame) -> DataFrame:
         """``df`` without its raw features, with ``model_predictions`` added."""
         prepared = self.preprocessor.transform(df)
         others = [c for c in df.columns if c not in self.preprocessor.features]
-        scored = self.model.transform(prepared)
-        return scored.select(*others, positive_probability().alias("model_predictions"))
-
+        scored = self.model.scored(prepared, "_probability")
+        return scored.select(*others, F.col("_probability").alias("model_predictions"))
 
-def positive_probability() -> Column:
-    return F.get(vector_to_array("probability"), F.lit(1))
 
-
-def _classifier(label: str, params: Mapping[str, object]) -> GBTClassifier:
-    learner = GBTClassifier(
-        featuresCol="features", labelCol=label, seed=SEED, checkpointInterval=10, cacheNodeIds=False
-    )
-    return learner.copy({learner.getParam(k): v for k, v in params.items()})
-
-
-def _stages(features: Sequence[str], label: str, params: Mapping[str, object]) -> Pipeline:
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[assembler, _classifier(label, params)])
+def _prepared(preprocessor: Preprocessor, train: DataFrame, label: str, key: Sequence[str], **extra: Column) -> DataFrame:
+    """Stored: key, label and prepared features, which the passes of the learner read again and again."""
+    kept = [c for c in dict.fromkeys([*key, label]) if c not in preprocessor.features]
+    rows = preprocessor.transform(train.withColumns(extra))
+    return stored(rows.select(*kept, *extra, *preprocessor.features), "training-rows")
 
 
 def train_classifier(
@@ -74,14 +62,15 @@ def train_classifier(
     features: Sequence[str] | None = None,
     label: str = "label",
     params: Mapping[str, object] | None = None,
+    key: Sequence[str] = (),
 ) -> ScoringModel:
-    """Fit the preprocessing and a gradient-boosted classifier with a fixed seed."""
-    shared_root(train.sparkSession)
+    """Fit the preprocessing and boosted trees with a fixed seed. Rows are drawn by ``key``, else by their features."""
     preprocessor = fit_preprocessor(train, features)
-    prepared = preprocessor.transform(train)
+    rows = _prepared(preprocessor, train, label, key)
     chosen = dict(params or {})
-    fitted = _stages(preprocessor.features, label, chosen).fit(prepared)
-    return ScoringModel(preprocessor, fitted, chosen)
+    names = preprocessor.features
+    trees = boost.train(rows, names, label, list(key) or names, Params(**chosen), SEED)
+    return ScoringModel(preprocessor, trees, chosen)
 
 
 def draw_params(space: Mapping[str, Sequence] = SEARCH_SPACE, n: int = SEARCH_DRAWS, seed: int = SEED) -> list[dict]:
@@ -109,35 +98,24 @@ def random_search(
     space: Mapping[str, Sequence] = SEARCH_SPACE,
     n: int = SEARCH_DRAWS,
     folds: int = FOLDS,
-    parallelism: int = 4,
+    rungs: Sequence[int] = (),
 ) -> tuple[ScoringModel, list[tuple[dict, float]]]:
     """Best of ``n`` random grid points by cross-validated AUC of the probabilities.
 
-    Folds come from a hash of ``key``, so they are the same in every run. Returns the model
-    refitted on all rows and the mean AUC of each point.
+    Folds come from a hash of ``key``, so they are the same in every run. All points and folds are fitted in shared
+    passes; with ``rungs``, numbers of trees, the better half goes on at each. Returns the model refitted on all rows and
+    the mean AUC of each point where it ended, the best first.
     """
-    shared_root(train.sparkSession)
     preprocessor = fit_preprocessor(train, features)
     digits = F.conv(F.substring(split_hash(key), 9, 7), 16, 10).cast("int")
-    prepared = preprocessor.transform(train.withColumn("fold", F.pmod(digits, F.lit(folds))))
-    assembler = VectorAssembler(inputCols=preprocessor.features, outputCol="features")
-    learner = _classifier(label, {})
+    rows = _prepared(preprocessor, train, label, key, _fold=F.pmod(digits, F.lit(folds)))
     drawn = draw_params(space, n)
-    grid = [{learner.getParam(k): v for k, v in point.items()} for point in drawn]
-    search = CrossValidator(
-        estimator=learner,
-        estimatorParamMaps=grid or ParamGridBuilder().build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=SEED,
-    )
-    result = search.fit(assembler.transform(prepared).select("features", label, "fold"))
-    best = max(range(len(drawn)), key=lambda i: result.avgMetrics[i])
-    model = PipelineModel(stages=[assembler, result.bestModel])
-    fitted = ScoringModel(preprocessor, model, drawn[best])
-    return fitted, list(zip(drawn, result.avgMetrics))
+    names = preprocessor.features
+    candidates = [Params(**point) for point in drawn]
+    found = boost.search(rows, names, label, key, candidates, folds, rungs, F.col("_fold"), SEED)
+    trees = boost.train(rows, names, label, key, found.best, SEED)
+    fitted = ScoringModel(preprocessor, trees, drawn[found.table[0][0]])
+    return fitted, [(drawn[c], area) for c, _, _, area in found.table]
 
 
 def score(model: ScoringModel, df: DataFrame, model_name: str) -> DataFrame:
@@ -166,23 +144,22 @@ def evaluate(model: ScoringModel, df: DataFrame, label: str = "label", split: st
 
 
 def save_model(spark: SparkSession, model: ScoringModel, path: str) -> None:
-    """Model directory with the fitted preprocessing next to the Spark ML model."""
-    model.model.write().overwrite().save(f"{path}/model")
+    """Model directory: one line of JSON with trees and preprocessing, next to the table of category codes."""
     fitted = model.preprocessor
     numbers = {"features": fitted.features, "medians": fitted.medians, "scale": fitted.scale}
-    state = json.dumps({"preprocessor": numbers, "params": model.params})
+    state = json.dumps({"preprocessor": numbers, "params": model.params, "trees": asdict(model.model)})
     if fitted.occupation_codes is not None:
         fitted.occupation_codes.write.mode("overwrite").parquet(f"{path}/codes")
     one = spark.range(1).select(F.lit(state).alias("value"))
-    one.write.mode("overwrite").text(f"{path}/preprocessor")
+    one.write.mode("overwrite").text(f"{path}/model")
 
 
 def load_model(spark: SparkSession, path: str) -> ScoringModel:
-    state = json.loads(spark.read.text(f"{path}/preprocessor").first()["value"])
+    state = json.loads(spark.read.text(f"{path}/model").first()["value"])
     fitted = Preprocessor(**state["preprocessor"])
     if "Occupation" in fitted.features:
         fitted.occupation_codes = spark.read.parquet(f"{path}/codes")
-    return ScoringModel(fitted, PipelineModel.load(f"{path}/model"), state["params"])
+    return ScoringModel(fitted, BoostedTrees.from_json(json.dumps(state["trees"])), state["params"])
 
 
 def verify_reload(model: ScoringModel, path: str, df: DataFrame, label: str = "label") -> DataFrame:

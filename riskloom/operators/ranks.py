@@ -1,8 +1,8 @@
 """Order statistics over whole columns without a single-task sort.
 
 Quantiles: a bounded sketch brackets each wanted rank, a second pass counts the rows below and inside each bracket. Only
-rows inside a bracket are ever shuffled, one per distinct value; where a bracket has more of them than one task should
-order, they are dealt to ranges of values and totalled range by range, in a fixed number of passes however they are
+rows inside a bracket are ever shuffled, one per distinct value; where a bracket has more rows than one task should
+order, its values are dealt to ranges of values and totalled range by range, in a fixed number of passes however they are
 distributed.
 
 Ranks of every value: rows collapse to one per distinct value with a row count, so a value that holds a third of all rows
@@ -29,7 +29,7 @@ ACCURACY = 10_000
 MARGIN = 4 / ACCURACY
 # Where the margin is less than one row a bracket is the whole range of its group.
 SMALL_GROUP = int(1 / MARGIN)
-# Distinct values that one task orders.
+# Rows of a bracket whose values one task orders.
 BRACKET_VALUES = 200_000
 # Groups with brackets are broadcast up to this many, else joined by shuffle.
 BROADCAST_GROUPS = 20_000
@@ -101,7 +101,7 @@ def rank_candidates(
     counted = held.groupBy(*by, "i", "_v", "n", F.get("_below", "i").alias("_start")).agg(
         F.count("*").alias("copies")
     )
-    if known.where(F.array_max("_values") > values).isEmpty():
+    if known.where(F.array_max("_inside") > values).isEmpty():
         earlier = Window.partitionBy(*by, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
         placed = counted.withColumn("copies_before", F.coalesce(F.sum("copies").over(earlier), F.lit(0)))
     else:
@@ -111,13 +111,12 @@ def rank_candidates(
 
 
 def _counted(rows: DataFrame, brackets: DataFrame, by: Sequence[str], n: int) -> DataFrame:
-    """Brackets with the rows below and inside each, and about how many distinct values are inside; stored."""
+    """Brackets with the rows below and inside each; stored."""
     below = F.expr(f"array({', '.join(f'count_if(_v < _los[{i}])' for i in range(n))})")
     own = [f"_v BETWEEN _los[{i}] AND _his[{i}]" for i in range(n)]
     inside = F.expr(f"array({', '.join(f'count_if({x})' for x in own)})")
-    values = F.expr(f"array({', '.join(f'approx_count_distinct(if({x}, _v, null))' for x in own)})")
     counts = _same(rows, _sent(brackets), by).groupBy(*by, "n", "_los", "_his").agg(
-        below.alias("_below"), inside.alias("_inside"), values.alias("_values")
+        below.alias("_below"), inside.alias("_inside")
     )
     return stored(counts, "brackets")
 

@@ -46,14 +46,14 @@ def run_training(
     bank: str,
     space: Mapping[str, Sequence] = M.SEARCH_SPACE,
     draws: int = M.SEARCH_DRAWS,
-    parallelism: int = 4,
+    rungs: Sequence[int] = (),
 ) -> TrainingRun:
     """Train on one date: the model and its registry row go below ``bank``."""
     rows = training_rows(labels, attributes, financials, train_date).checkpoint()
     A.check_two_classes(rows.where("window = 'train_test'"))
     train = rows.where("split = 'train'")
     model, _ = M.random_search(
-        train, ["loan_id", "Customer_ID", "snapshot_date"], space=space, n=draws, parallelism=parallelism
+        train, ["loan_id", "Customer_ID", "snapshot_date"], space=space, n=draws, rungs=rungs
     )
     day = A.train_date_frame(spark, train_date)
     version = day.select(R.model_version(F.col(MONTH))).first()[0]

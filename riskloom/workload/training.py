@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import assemble as A
+from riskloom.operators import boost
 from riskloom.operators import model as M
 from riskloom.operators import preprocess as P
 from riskloom.operators import profile as R
@@ -406,9 +407,10 @@ def _(spark, sf):
     )
 
 
-# --- models (the learner differs from any SQL twin, so these are rows-only) ------------------
+# --- models ------------------------------------------------------------------------------------
 
-SMALL = {"maxIter": 10, "maxDepth": 3, "stepSize": 0.1}
+# The first point of the search space but for the number of trees and their rate.
+CHOSEN = {"n_estimators": 25, "max_depth": 3, "learning_rate": 0.1, "reg_alpha": 0.1, "reg_lambda": 1.5}
 
 
 def _rows(spark, sf):
@@ -420,29 +422,77 @@ def _rows(spark, sf):
 @query("m1_train_classifier")
 def _(spark, sf):
     rows = _rows(spark, sf)
-    model = M.train_classifier(rows.where("split = 'train'"), params=SMALL)
+    model = M.train_classifier(rows.where("split = 'train'"), params=CHOSEN)
     return M.evaluate(model, rows)
 
 
+# First splits under several penalties: the sums behind them can be stated in SQL.
+STUMP_FEATURES = ["Annual_Income", "Interest_Rate", "Outstanding_Debt", "Num_of_Loan", "Monthly_Balance"]
+STUMPS = [(0.0, 1.0, 0.0), (1.0, 1.5, 0.1), (5.0, 2.0, 0.0), (0.1, 0.0, 1.0)]
+_STUMP_ROWS = " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, {i} AS place, CAST("{c}" AS DOUBLE) AS v, y FROM own""" for i, c in enumerate(STUMP_FEATURES)
+)
+_STUMP_SQL = f"""WITH own AS (SELECT *, CAST("Num_of_Delayed_Payment" > 12 AS INT) AS y FROM fins
+  WHERE "Num_of_Delayed_Payment" IS NOT NULL),
+long AS ({_STUMP_ROWS}),
+probs AS (SELECT i / 32.0 AS p FROM range(1, 32) AS t(i)),
+ranked AS (SELECT feature, place, v, row_number() OVER (PARTITION BY feature ORDER BY v) AS pos,
+  count(*) OVER (PARTITION BY feature) AS n, max(v) OVER (PARTITION BY feature) AS largest FROM long WHERE v IS NOT NULL),
+edges AS (SELECT DISTINCT feature, place, v AS edge FROM ranked JOIN probs ON pos = greatest(1, ceil(round(p * n, 6))) WHERE v < largest),
+whole AS (SELECT sum(0.5 - y) AS g, 0.25 * count(*) AS h FROM own),
+sides AS (SELECT e.feature, e.place, e.edge, sum(0.5 - y) AS rg, 0.25 * count(*) AS rh
+  FROM edges AS e JOIN long AS l ON l.feature = e.feature AND l.v > e.edge GROUP BY ALL),
+asked AS (SELECT * FROM (VALUES {", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)" for a, b, c in STUMPS)}) AS t(reg_alpha, reg_lambda, gamma)),
+paired AS (SELECT asked.*, feature, place, edge, g, h, rg, rh, g - rg AS lg, h - rh AS lh FROM asked, sides, whole),
+gains AS (SELECT *, pow(greatest(abs(lg) - reg_alpha, 0), 2) / (lh + reg_lambda) + pow(greatest(abs(rg) - reg_alpha, 0), 2) / (rh + reg_lambda)
+  - pow(greatest(abs(g) - reg_alpha, 0), 2) / (h + reg_lambda) AS gain FROM paired WHERE lh >= 1 AND rh >= 1)
+SELECT reg_alpha, reg_lambda, gamma, feature, edge, round(gain, 6) AS gain,
+  round(-sign(lg) * greatest(abs(lg) - reg_alpha, 0) / (lh + reg_lambda) * 0.1, 9) + 0.0 AS left_value,
+  round(-sign(rg) * greatest(abs(rg) - reg_alpha, 0) / (rh + reg_lambda) * 0.1, 9) + 0.0 AS right_value
+FROM gains WHERE gain > gamma
+QUALIFY row_number() OVER (PARTITION BY reg_alpha, reg_lambda, gamma ORDER BY round(gain, 9) DESC, place, edge) = 1"""
+
+
+@query("m1_first_splits", _STUMP_SQL, ["fins"])
+def _(spark, sf):
+    rows = V.fins(spark, sf).where("Num_of_Delayed_Payment is not null")
+    rows = rows.withColumn("y", (F.col("Num_of_Delayed_Payment") > 12).cast("int"))
+    edges = boost.feature_edges(rows, STUMP_FEATURES)
+    binned = boost.binned_rows(rows, STUMP_FEATURES, "y", edges, ["Customer_ID", "snapshot_date"])
+    asked = [boost.Params(1, 1, 0.1, gamma=c, reg_alpha=a, reg_lambda=b) for a, b, c in STUMPS]
+    _, models = boost.grow(binned, [boost.Model(p) for p in asked], len(STUMP_FEATURES), 1)
+    found = []
+    for p, model in zip(asked, models):
+        splits = boost.BoostedTrees(STUMP_FEATURES, edges, model.trees, p).splits()
+        if len(splits) == 3:
+            (_, _, feature, edge, gain, _), left, right = splits
+            found.append((p.reg_alpha, p.reg_lambda, p.gamma, feature, edge, round(gain, 6), round(left[5], 9), round(right[5], 9)))
+    names = "reg_alpha double, reg_lambda double, gamma double, feature string, edge double, gain double, left_value double, right_value double"
+    return spark.createDataFrame(found, names)
+
+
+# 100 draws from the whole space; the better half goes on after so many trees.
+RUNGS = (1, 2, 4, 8, 16)
+
+
 @query("m2_random_search")
 def _(spark, sf):
     rows = _rows(spark, sf)
-    space = {**M.SEARCH_SPACE, "maxIter": [3, 5], "stepSize": [0.1, 0.3]}
-    model, _ = M.random_search(rows.where("split = 'train'"), KEY, space=space, n=2)
+    model, _ = M.random_search(rows.where("split = 'train'"), KEY, rungs=RUNGS)
     return M.evaluate(model, rows)
 
 
 @query("m3_score")
 def _(spark, sf):
     rows = _rows(spark, sf)
-    model = M.train_classifier(rows.where("split = 'train'"), params=SMALL)
+    model = M.train_classifier(rows.where("split = 'train'"), params=CHOSEN)
     return M.score(model, known(spark, sf), "credit_model_1998_03_01")
 
 
 @query("m4_baseline_scores")
 def _(spark, sf):
     rows = _rows(spark, sf)
-    model = M.train_classifier(rows.where("split = 'train'"), params=SMALL)
+    model = M.train_classifier(rows.where("split = 'train'"), params=CHOSEN)
     month = M.baseline_month(F.lit(TRAIN_DATE).cast("date"))
     held = known(spark, sf).where(F.col("snapshot_date") == month)
     return M.baseline_scores(model, held, "credit_model_1998_03_01")
@@ -451,7 +501,7 @@ def _(spark, sf):
 @query("m8_verify_reload")
 def _(spark, sf):
     rows = _rows(spark, sf)
-    model = M.train_classifier(rows.where("split = 'train'"), params=SMALL)
+    model = M.train_classifier(rows.where("split = 'train'"), params=CHOSEN)
     path = scratch_dir(spark, "model")
     M.save_model(spark, model, path)
     return M.verify_reload(model, path, rows)
@@ -471,14 +521,14 @@ def _covered(scored, name: str):
 @query("m3_score_coverage", f"{_SCORED} GROUP BY 1", ["attrs", "fins"])
 def _(spark, sf):
     rows = _rows(spark, sf)
-    model = M.train_classifier(rows.where("split = 'train'"), params=SMALL)
+    model = M.train_classifier(rows.where("split = 'train'"), params=CHOSEN)
     return _covered(M.score(model, known(spark, sf), "credit_model_1998_03_01"), "model_predictions")
 
 
 @query("m4_baseline_coverage", f"{_SCORED} WHERE a.snapshot_date = DATE '1997-12-01' GROUP BY 1", ["attrs", "fins"])
 def _(spark, sf):
     rows = _rows(spark, sf)
-    model = M.train_classifier(rows.where("split = 'train'"), params=SMALL)
+    model = M.train_classifier(rows.where("split = 'train'"), params=CHOSEN)
     month = M.baseline_month(F.lit(TRAIN_DATE).cast("date"))
     held = known(spark, sf).where(F.col("snapshot_date") == month)
     return _covered(M.baseline_scores(model, held, "credit_model_1998_03_01"), "prediction")
@@ -487,7 +537,7 @@ def _(spark, sf):
 @query("m8_reload_equal", "SELECT unnest(['train', 'test', 'oot']) AS split, true AS equal")
 def _(spark, sf):
     rows = _rows(spark, sf)
-    model = M.train_classifier(rows.where("split = 'train'"), params=SMALL)
+    model = M.train_classifier(rows.where("split = 'train'"), params=CHOSEN)
     path = scratch_dir(spark, "model")
     M.save_model(spark, model, path)
     return M.verify_reload(model, path, rows).select("split", "equal")
@@ -497,5 +547,5 @@ def _(spark, sf):
 def _(spark, sf):
     rows = _rows(spark, sf).where("Interest_Rate is not null")
     easy = rows.withColumn("label", (F.col("Interest_Rate") > 15).cast("int"))
-    model = M.train_classifier(easy.where("split = 'train'"), params=SMALL)
+    model = M.train_classifier(easy.where("split = 'train'"), params=CHOSEN)
     return M.evaluate(model, easy).select("split", (F.col("auc") > 0.99).alias("learned"))

@@ -91,7 +91,7 @@ def test_trees_equal_a_plain_booster(table, params):
         for node in mine:
             assert mine[node][:2] == theirs[node][:2]
             assert mine[node][2:] == pytest.approx(theirs[node][2:], rel=1e-6, abs=1e-9)
-    scored = {r.id: r.m for r in table.select("id", model.margin().alias("m")).collect()}
+    scored = {r.id: r.m for r in model.scored(table, "m", probability=False).collect()}
     assert [scored[r[0]] for r in rows] == pytest.approx(margin, rel=1e-6, abs=1e-9)
 
 
@@ -126,8 +126,8 @@ def test_search_shares_passes_and_halves(spark, table):
     edges = boost.feature_edges(table, FEATURES)
     rows = boost.binned_rows(table, FEATURES, "y", edges, ["id"], fold)
     _, (alone,) = boost.grow(rows, [boost.Model(candidates[best], 1)], 3, 6)
-    margin = boost.BoostedTrees(FEATURES, edges, alone.trees, candidates[best]).margin()
-    expected = sorted(r.m for r in table.where(fold == 1).select(margin.alias("m")).collect())
+    trees = boost.BoostedTrees(FEATURES, edges, alone.trees, candidates[best])
+    expected = sorted(r.m for r in trees.scored(table.where(fold == 1), "m", probability=False).collect())
     assert sorted(r.score for r in last.where(f"candidate = {best}").collect()) == pytest.approx(expected)
     # The areas agree with SQL over the stored scores.
     scores = found.scores[0].toPandas()  # noqa: F841

@@ -172,7 +172,7 @@ def test_features_come_from_the_baseline(spark):
 def test_monitoring_runs_on_what_training_and_scoring_wrote(spark, sf, scratch):
     labels, attributes, financials = V.labels_silver(spark, sf), V.attrs(spark, sf), V.fins(spark, sf)
     bank, path = scratch("bank"), scratch("predictions")
-    space = {"maxIter": [2], "maxDepth": [2]}
+    space = {"n_estimators": [2], "max_depth": [2]}
     run = training.run_training(spark, labels, attributes, financials, "1999-03-01", bank, space, draws=1)
     scoring.run_scoring(spark, attributes, financials, bank, run.version, "1998-01-01", "2000-12-01", path)
     scores = spark.read.parquet(path).withColumn("snapshot_date", F.col("snapshot_date").cast("date"))

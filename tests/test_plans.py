@@ -89,7 +89,7 @@ def test_backfill_again_changes_nothing(spark, mart):
 def test_training_and_scoring_run(spark, sf, mart):
     labels = V.labels_silver(spark, sf)
     attributes, financials = V.attrs(spark, sf), V.fins(spark, sf)
-    space = {"maxIter": [2, 3], "maxDepth": [2]}
+    space = {"n_estimators": [2, 3], "max_depth": [2]}
     run = training.run_training(spark, labels, attributes, financials, "1999-03-01", f"{mart}/bank", space, draws=2)
     assert run.version == "credit_model_1999_03_01"
     row = spark.read.parquet(f"{mart}/bank/registry").first()
@@ -107,7 +107,7 @@ def test_training_and_scoring_run(spark, sf, mart):
 def test_search_draws_are_distinct_and_repeatable():
     one, two = M.draw_params(n=100), M.draw_params(n=100)
     assert one == two and len({tuple(p.items()) for p in one}) == 100
-    assert len(M.draw_params({"maxDepth": [1, 2]}, n=10)) == 2
+    assert len(M.draw_params({"max_depth": [1, 2]}, n=10)) == 2
 
 
 def test_separable_classes_are_learned(spark):
@@ -115,5 +115,5 @@ def test_separable_classes_are_learned(spark):
         F.col("id").alias("Age"), F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("Occupation"),
         (F.col("id") >= 200).cast("int").alias("label"), F.lit("train").alias("split"),
     )
-    model = M.train_classifier(rows, ["Age", "Occupation"], params={"maxIter": 3, "maxDepth": 2})
+    model = M.train_classifier(rows, ["Age", "Occupation"], params={"n_estimators": 3, "max_depth": 2})
     assert M.evaluate(model, rows).first()["auc"] > 0.99
