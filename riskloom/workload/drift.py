@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import decide as G
 from riskloom.operators import drift as D
+from riskloom.operators import sketches as S
 from riskloom.plans.monitoring import decide_months, monitor_scores
-from riskloom.session import stored
+from riskloom.session import scratch_dir, stored
 from riskloom.sources import tables
 from riskloom.workload import views as V
 from riskloom.workload.profiling import top_k_sql
@@ -127,6 +128,33 @@ def _(spark, sf):
     )
 
 
+_WINDOWS = [("early", "1992-01-01", "1995-12-01"), ("middle", "1996-01-01", "1997-12-01"), ("all", "1992-01-01", "2010-12-01")]
+
+
+@query(
+    "d1_window_edges_from_sketches",
+    "\nUNION ALL\n".join(
+        f"""SELECT '{w}' AS "window", feature, n, CAST(i AS BIGINT) AS i, e[i] AS edge FROM (
+  SELECT feature, count(v) AS n, quantile_disc(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM (
+    {long_sql("order_features", ["amount", "tier"], "", f"snapshot_date BETWEEN DATE '{lo}' AND DATE '{hi}'")}) AS l
+  WHERE v IS NOT NULL GROUP BY feature) AS q, (SELECT unnest(range(1, 10)) AS i) AS s"""
+        for w, lo, hi in _WINDOWS
+    ),
+    ["order_features"],
+)
+def _(spark, sf):
+    rows, cols = V.order_features(spark, sf), ["amount", "tier"]
+    path = scratch_dir(spark, "month-sketches")
+    S.store_sketches(S.quantile_sketches(rows, cols), path)
+    windows = spark.createDataFrame(_WINDOWS, "window string, lo string, hi string").select(
+        "window", F.col("lo").cast("date").alias("lo"), F.col("hi").cast("date").alias("hi")
+    )
+    found = S.window_quantiles(rows, spark.read.parquet(path), windows, cols, [i / 10 for i in range(1, 10)])
+    return found.select("window", "feature", "n", F.posexplode("quantiles").alias("i", "edge")).withColumn(
+        "i", (F.col("i") + 1).cast("bigint")
+    )
+
+
 NUMERIC_A = psi_sql(
     long_sql("order_features", ["amount", "tier"], "", FEATURE_BASE),
     long_sql("order_features", ["amount", "tier"], "snapshot_date", FEATURE_CUR),

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import drift as D
 from riskloom.operators import profile as P
+from riskloom.operators import sketches as S
+from riskloom.session import scratch_dir
 from riskloom.workload import views as V
 from riskloom.workload.registry import query
 
@@ -28,7 +30,7 @@ def _(spark, sf):
     return P.null_counts(V.attrs(spark, sf))
 
 
-_CLICK_COLUMNS = ["Customer_ID", "snapshot_date", "fe_1", "fe_2", "fe_20"]
+_CLICK_COLUMNS = ["Customer_ID", "snapshot_date", *[f"fe_{i}" for i in range(1, 21)]]
 
 
 @query(
@@ -40,6 +42,27 @@ def _(spark, sf):
     return P.distinct_counts(V.clicks(spark, sf), _CLICK_COLUMNS)
 
 
+@query(
+    "a2_month_turnover",
+    """WITH months AS (SELECT snapshot_date, lag(snapshot_date) OVER (ORDER BY snapshot_date) AS earlier
+  FROM (SELECT DISTINCT snapshot_date FROM clicks) AS m),
+seen AS (SELECT DISTINCT snapshot_date, "Customer_ID" AS c FROM clicks)
+SELECT k.snapshot_date, 'Customer_ID' AS feature, CAST(count(a.c) AS BIGINT) AS distinct_values,
+  CAST(count(a.c) - count(b.c) FILTER (a.c IS NOT NULL) AS BIGINT) AS gained,
+  CAST(count(b.c) FILTER (a.c IS NULL) AS BIGINT) AS lost, CAST(count(b.c) FILTER (a.c IS NOT NULL) AS BIGINT) AS kept
+FROM (SELECT months.snapshot_date, months.earlier, u.c FROM months
+    JOIN (SELECT snapshot_date AS d, c FROM seen) AS u ON u.d = months.snapshot_date OR u.d = months.earlier GROUP BY ALL) AS k
+  LEFT JOIN seen AS a ON a.snapshot_date = k.snapshot_date AND a.c = k.c
+  LEFT JOIN seen AS b ON b.snapshot_date = k.earlier AND b.c = k.c
+GROUP BY k.snapshot_date""",
+    ["clicks"],
+)
+def _(spark, sf):
+    path = scratch_dir(spark, "distinct-sketches")
+    S.store_sketches(S.distinct_sketches(V.clicks(spark, sf), ["Customer_ID"]), path)
+    return S.month_turnover(spark.read.parquet(path))
+
+
 def _describe_sql(source: str, cols) -> str:
     return _union(
         f"""SELECT '{c}' AS column_name, count("{c}") AS "count", avg("{c}") AS mean, stddev_samp("{c}") AS std,
