@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskloom.functions.months import listed_months
 from riskloom.operators.assemble import assemble_scoring
 from riskloom.operators.model import load_model, score
 from riskloom.sources.tables import between_months, write_table
@@ -24,4 +25,5 @@ def run_scoring(
     """Score every month from ``lo`` to ``hi`` into one table by model and month."""
     rows = assemble_scoring(between_months(attributes, lo, hi), between_months(financials, lo, hi))
     scored = score(load_model(spark, f"{bank}/{version}"), rows, version)
-    write_table(scored, path, ["model_name", "snapshot_date"])
+    own = {"model_name": version}
+    write_table(scored, path, ["model_name", "snapshot_date"], months=listed_months(lo, hi), within=own)

@@ -24,16 +24,20 @@ def write_table(
     fmt: str = "parquet",
     rebalance: bool = True,
     months: Sequence[str | date] | None = None,
+    within: Mapping[str, str] | None = None,
 ) -> None:
     """Overwrite the partitions present in ``df``; with ``months`` those of them without rows are emptied as well.
 
-    ``months`` are the months that a run covers, so that a rerun replaces all of them.
+    ``months`` are the months that a run covers, so that a rerun replaces all of them. ``within`` names the values of the
+    other partition columns that the run is about; partitions with other values are never emptied.
 
     The rebalance hint sizes the output files by volume: a month with a third of all rows
     is split over many tasks, small months share one. It costs a shuffle, which input that
     is already clustered by month can do without (``rebalance=False``).
     """
     rows = df.hint("rebalance", *partition_by) if rebalance else df
+    spark = df.sparkSession
+    before = {} if months is None else _covered(spark, path, partition_by, months, within or {})
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -41,29 +45,39 @@ def write_table(
         .format(fmt)
         .save(path)
     )
-    if months is not None:
-        _clear_months(df, path, partition_by, months)
+    if before:
+        # A partition that was written holds files with new names; the same files as before mean no rows now.
+        after = _covered(spark, path, partition_by, months, within or {})
+        for folder in before:
+            if after.get(folder) == before[folder]:
+                place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def _clear_months(df: DataFrame, path: str, partition_by: Sequence[str], months: Sequence[str | date]) -> None:
-    """Delete the partitions of covered months that ``df`` has no rows for."""
-    spark = df.sparkSession
-    # One row per partition of the table.
-    present = {tuple(map(str, r)) for r in df.select(*partition_by).distinct().collect()}
+def _covered(
+    spark: SparkSession,
+    path: str,
+    partition_by: Sequence[str],
+    months: Sequence[str | date],
+    within: Mapping[str, str],
+) -> dict[str, frozenset[str]]:
+    """File names in every partition folder of the covered months."""
     covered = {str(m)[:10] if len(str(m)) > 7 else f"{m}-01" for m in months}
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    pattern = "/".join([path, *[f"{c}=*" for c in partition_by]])
+    pattern = "/".join([path, *[f"{c}={within.get(c, '*')}" for c in partition_by]])
+    out = {}
     for found in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(pattern)) or []:
-        parts = found.getPath().toString().rstrip("/").split("/")[-len(partition_by) :]
-        values = dict(p.split("=", 1) for p in parts)
-        if values.get(MONTH) in covered and tuple(values[c] for c in partition_by) not in present:
-            fs.delete(found.getPath(), True)
+        folder = found.getPath().toString().rstrip("/")
+        values = dict(p.split("=", 1) for p in folder.split("/")[-len(partition_by) :])
+        if values.get(MONTH) in covered:
+            out[folder] = frozenset(f.getPath().getName() for f in fs.listStatus(found.getPath()))
+    return out
 
 
-def ingest_bronze(df: DataFrame, path: str) -> None:
+def ingest_bronze(df: DataFrame, path: str, months: Sequence[str | date] | None = None) -> None:
     """Persist the raw rows unchanged, one partition per month."""
-    write_table(df, path)
+    write_table(df, path, months=months)
 
 
 def read_snapshot(spark: SparkSession, path: str, month: str | date) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.operators import drift as D
-from riskloom.plans.medallion import backfill_layer
+from riskloom.plans.medallion import backfill_layer, refresh
 from riskloom.operators.arrears import add_arrears
 from riskloom.session import scratch_dir
 from riskloom.sources import feeds, payloads, tables
+from riskloom.sources.schemas import FEEDS
 from riskloom.workload import drift as W
 from riskloom.workload import views as V
 from riskloom.workload.registry import query
@@ -216,6 +217,45 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
+@query(
+    "s15_refresh_changed",
+    """WITH kept AS (SELECT * FROM silver_clicks WHERE snapshot_date <> DATE '1998-03-01'),
+engaged AS (SELECT CAST(snapshot_date + to_months(i) AS DATE) AS snapshot_date, min(fe_1) FILTER (i = 1) AS click_1m
+  FROM kept, (SELECT unnest([1, 2, 3, 4, 5, 6]) AS i) AS steps
+  WHERE CAST(snapshot_date + to_months(i) AS DATE) <= DATE '2001-12-01' GROUP BY "Customer_ID", 1)
+SELECT 'silver/clickstream' AS table_name, snapshot_date, count(*) AS row_count, CAST(sum(fe_1) AS BIGINT) AS total FROM kept GROUP BY 2
+UNION ALL SELECT 'gold/engagement', snapshot_date, count(*), CAST(sum(click_1m) AS BIGINT) FROM engaged GROUP BY 2
+UNION ALL SELECT 'silver/ledger', snapshot_date, count(*), CAST(sum(installment_num) AS BIGINT) FROM silver_ledger GROUP BY 2
+UNION ALL SELECT 'gold/label_store', snapshot_date, count(*), CAST(sum(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END) AS BIGINT)
+  FROM silver_ledger WHERE mob = 3 GROUP BY 2""",
+    ["silver_clicks", "silver_ledger"],
+)
+def _(spark, sf):
+    """Both feeds are built, a month of clicks is withdrawn, and a second run follows the change."""
+    root = scratch_dir(spark, "refreshed")
+    paths = {feed: f"{root}/raw/{feed}" for feed in ("clickstream", "ledger")}
+    clicks = V.clicks_text(spark, sf)
+
+    def deliver(rows, feed):
+        rows.select(*FEEDS[feed]).write.mode("overwrite").option("header", True).option("escape", '"').csv(paths[feed])
+
+    deliver(V.ledger(spark, sf), "ledger")
+    for rows in (clicks, clicks.where(F.col("snapshot_date").cast("date") != F.lit("1998-03-01").cast("date"))):
+        deliver(rows, "clickstream")
+        refresh(spark, paths, f"{root}/mart", "1992-01-01", "2001-12-01", dpd=30, mob=3)
+    measures = {
+        "silver/clickstream": "fe_1", "gold/engagement": "click_1m",
+        "silver/ledger": "installment_num", "gold/label_store": "label",
+    }
+    out = None
+    for name, measure in measures.items():
+        one = spark.read.parquet(f"{root}/mart/{name}").groupBy(F.lit(name).alias("table_name"), "snapshot_date").agg(
+            F.count("*").alias("row_count"), F.sum(measure).cast("bigint").alias("total")
+        )
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
 @query(
     "s16_snapshot_coverage",
     """SELECT table_name, min(snapshot_date) AS earliest, max(snapshot_date) AS latest,

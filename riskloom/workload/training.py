@@ -121,15 +121,16 @@ def known(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "p1_fit_median_impute",
-    "\nUNION ALL\n".join(
-        f"""SELECT '{c}' AS feature, quantile_cont(CAST("{c}" AS DOUBLE), 0.5) AS median FROM fins"""
-        for c in NUMERIC if c != "Age"
+    f"WITH {KNOWN}\n"
+    + "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS feature, quantile_cont(CAST("{c}" AS DOUBLE), 0.5) AS median FROM known"""
+        for c in NUMERIC
     ),
-    ["fins"],
+    ["attrs", "fins"],
     ["median"],
 )
 def _(spark, sf):
-    return P.fit_medians(V.fins(spark, sf), [c for c in NUMERIC if c != "Age"])
+    return P.fit_medians(known(spark, sf), NUMERIC)
 
 
 @query(
@@ -202,22 +203,20 @@ def _(spark, sf):
     return P.log1p_skewed(V.fins(spark, sf)).select("Customer_ID", *SKEWED)
 
 
-SCALED = ["Interest_Rate", "Num_Bank_Accounts", "Changed_Credit_Limit", "Credit_Utilization_Ratio"]
-
-
 @query(
     "p6_fit_standardise",
-    "\nUNION ALL\n".join(
-        f"""SELECT '{c}' AS feature, avg("{c}") AS mean, CASE WHEN stddev_pop("{c}") = 0 THEN 1 ELSE stddev_pop("{c}") END AS std FROM fins"""
-        for c in SCALED
+    f"WITH {KNOWN}\n"
+    + "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS feature, avg("{c}") AS mean, CASE WHEN stddev_pop("{c}") = 0 THEN 1 ELSE stddev_pop("{c}") END AS std FROM known"""
+        for c in NUMERIC
     )
-    + """\nUNION ALL SELECT 'constant', 7, 1 FROM fins HAVING count(*) > 0""",
-    ["fins"],
+    + """\nUNION ALL SELECT 'constant', 7, 1 FROM known HAVING count(*) > 0""",
+    ["attrs", "fins"],
     ["mean", "std"],
 )
 def _(spark, sf):
-    rows = V.fins(spark, sf).withColumn("constant", F.lit(7.0))
-    return P.fit_standardise(rows, [*SCALED, "constant"])
+    rows = known(spark, sf).withColumn("constant", F.lit(7.0))
+    return P.fit_standardise(rows, [*NUMERIC, "constant"])
 
 
 def _prepared_sql() -> str:
