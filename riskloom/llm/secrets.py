@@ -12,8 +12,10 @@ scanned alike; texts of any length are scanned whole; other columns pass through
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -58,6 +60,7 @@ IDENTIFIERS = (
 CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
 PART = re.compile(rb"[^=]+(?:=+$)?")
 PART_SIZE = 12
+ANNOUNCED = re.compile(b"(?=(" + b"|".join(SENSITIVE) + b"))")
 
 
 @dataclass(frozen=True)
@@ -112,26 +115,45 @@ class Scanner:
 
     def _parts(self, data: bytes, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, int]]:
         """Start and end of what the patterns leave of the parts of all runs, and where the name before it starts."""
-        taken = sorted(taken)
+        covered: list[list[int]] = []
+        for s, e, _ in sorted(taken):
+            if covered and s <= covered[-1][1]:
+                covered[-1][1] = max(covered[-1][1], e)
+            else:
+                covered.append([s, e])
+        covered.append([len(data), len(data)])
+        # Parts follow each other, so what ends before one of them is never looked at again.
+        first = 0
         for run in CANDIDATE.finditer(data):
-            own = [(s, e) for s, e, _ in taken if s < run.end() and run.start() < e]
             name = run.start()
             for m in PART.finditer(run.group()):
                 at, end = run.start() + m.start(), run.start() + m.end()
-                for s, e in [*own, (end, end)]:
-                    if min(s, end) - at >= PART_SIZE:
-                        yield at, min(s, end), name
-                    at = max(at, e)
+                while covered[first][1] <= at and first < len(covered) - 1:
+                    first += 1
+                j = first
+                while covered[j][0] < end:
+                    if covered[j][0] - at >= PART_SIZE:
+                        yield at, covered[j][0], name
+                    at = max(at, covered[j][1])
+                    j += 1
+                if end - at >= PART_SIZE:
+                    yield at, end, name
                 name = run.start() + m.start()
 
     def _novel(self, data: bytes, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, float]]:
         found, lim = [], self.limits
+        starts = ends = None
         for start, end, name in self._parts(data, taken):
             part = data[start:end]
             if part.isdigit():
                 continue
-            near = data[max(0, min(name, start - lim.announced_within)) : start].lower()
-            if not any(w in near for w in SENSITIVE):
+            if starts is None:
+                # All sensitive words, and the first end of those that start at or after each of them.
+                words = [m.span(1) for m in ANNOUNCED.finditer(data.lower())]
+                starts = [s for s, _ in words]
+                ends = [*accumulate((e for _, e in reversed(words)), min)][::-1]
+            word = bisect_left(starts, max(0, min(name, start - lim.announced_within)))
+            if word == len(starts) or ends[word] > start:
                 continue
             before, after = data[max(0, start - lim.context) : start], data[end : end + lim.context]
             value = self.novelty(before, part, after)

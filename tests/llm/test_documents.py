@@ -2,8 +2,10 @@
 
 import hashlib
 import math
+import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -295,6 +297,66 @@ def test_base_secrets(spark, texts, messy, nothing):
     assert secrets.scan(nothing).count() == 0
 
 
+def _plain_novel(scanner, text):
+    """Novel spans by marking every byte that a pattern covers and searching every window afresh."""
+    data = text.encode()
+    lim = scanner.limits
+    marked = bytearray(len(data))
+    for s, e, _ in scanner._base(data):
+        marked[s:e] = b"\1" * (e - s)
+    found = []
+    for run in secrets.CANDIDATE.finditer(data):
+        name = run.start()
+        for m in secrets.PART.finditer(run.group()):
+            at, end = run.start() + m.start(), run.start() + m.end()
+            for start, stop in [(at + g.start(), at + g.end()) for g in re.finditer(b"\0+", bytes(marked[at:end]))]:
+                part = data[start:stop]
+                near = data[max(0, min(name, start - lim.announced_within)) : start].lower()
+                if len(part) < secrets.PART_SIZE or part.isdigit() or not any(w in near for w in secrets.SENSITIVE):
+                    continue
+                sides = data[max(0, start - lim.context) : start], data[stop : stop + lim.context]
+                value = scanner.novelty(sides[0], part, sides[1])
+                if value >= lim.novelty:
+                    found.append((start, stop, value))
+            name = at
+    return found
+
+
+def test_novel_spans_as_by_plain_search():
+    rng = random.Random(11)
+    scanner = secrets.Scanner(secrets.Limits(context=40, announced_within=20, novelty=0.3))
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz0123456789+/_-"
+    pieces = [
+        lambda: "".join(rng.choices(letters, k=rng.randrange(1, 40))),
+        lambda: "".join(rng.choices("0123456789abcdef", k=rng.randrange(4, 30))),
+        lambda: "AKIA" + "".join(rng.choices("ABCDEFG0123", k=18)),
+        lambda: rng.choice(["=", "==", " ", ".", ": ", "key", "TOKEN=", "password: ", "private_", "auth ", "\u00e9"]),
+    ]
+    seen = 0
+    for _ in range(1000):
+        text = "".join(rng.choice(pieces)() for _ in range(rng.randrange(1, 40)))
+        data = text.encode()
+        want = _plain_novel(scanner, text)
+        assert scanner._novel(data, scanner._base(data)) == want
+        seen += len(want)
+    assert seen > 300
+
+
+@pytest.mark.parametrize(
+    "unit",
+    ["0123456789abcdef ", "0123456789abcdefZk39xQv81LmT0p", "key=Zk39xQv81LmT0p=", "0123456789abcdef."],
+)
+def test_many_spans_in_one_text(unit):
+    """100,000 units, apart or in one run, under one long match too, take seconds."""
+    for text in (unit * 100_000, "secret=" + unit * 100_000):
+        begun = time.monotonic()
+        scanner = secrets.Scanner(secrets.Limits())
+        found = scanner.scan(text)
+        assert time.monotonic() - begun < 30
+        # A string that its surroundings repeat is not novel, so some texts have matches of the patterns only, or none.
+        assert sum(s[0] != "novel" for s in found) == len(scanner._base(text.encode()))
+
+
 def test_novel_strings_near_sensitive_words():
     scanner = secrets.Scanner(secrets.Limits())
     kinds = lambda t: [s[0] for s in scanner.scan(t)]
