@@ -243,42 +243,69 @@ def auc(
     )
 
 
+def _presence_classes(rows: DataFrame, k: int) -> list[int]:
+    """For each column ``c0``, ``c1``, ... the first one that is null in exactly the same rows."""
+    pairs = [(i, j) for j in range(k) for i in range(j)]
+    differ = [F.bool_or(F.col(f"c{i}").isNull() != F.col(f"c{j}").isNull()).alias(f"d{i}_{j}") for i, j in pairs]
+    found = rows.agg(F.lit(0), *differ).first()
+    return [next((i for i in range(j) if not found[f"d{i}_{j}"]), j) for j in range(k)]
+
+
 def spearman(df: DataFrame, cols: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Rank correlation of every column pair (x before y in ``cols``), nulls dropped per pair.
 
-    Each pair is ranked on the rows where both columns are present. Rows collapse to
-    distinct (x, y) cells per pair on the map side, then ranks come from the two margins.
+    Each pair is ranked on the rows where both columns are present. A value's rank among them needs only the rows before
+    it in which the partner is present, so every column is ordered once, with one running count for each class of partners
+    that are null in the same rows. Rows are dealt once per column, not once per pair, to fetch their ranks, and come back
+    together to be multiplied.
     """
-    numbers = {c: F.nullif(F.col(c).try_cast("double"), F.lit(float("nan"))) for c in cols}
-    pairs = [
-        F.struct(F.lit(a).alias("x_name"), F.lit(b).alias("y_name"),
-                 numbers[a].alias("x"), numbers[b].alias("y"))
-        for i, a in enumerate(cols) for b in cols[i + 1:]
-    ]
-    cells = (
-        df.select(F.inline(F.array(*pairs)))
-        .where(F.col("x").isNotNull() & F.col("y").isNotNull())
-        .groupBy("x_name", "y_name", "x", "y")
-        .agg(F.count("*").alias("n"))
-    )
-    pair = ["x_name", "y_name"]
-    # A frequent x makes many cells share a key; each join feeds a new shuffle, so the
-    # adaptive skew join may split such a key.
-    ranked = cells
-    for side in ("x", "y"):
-        margin = cells.groupBy(*pair, side).agg(F.sum("n").alias("n"))
-        ranks = average_ranks(margin, pair, side, rows_per_slice=rows_per_slice)
-        ranked = ranked.join(ranks.withColumnRenamed("rank", f"{side}_rank"), [*pair, side])
-    n, rx, ry = F.col("n").cast("double"), F.col("x_rank"), F.col("y_rank")
-    moments = ranked.groupBy(*pair).agg(
-        F.sum(n).alias("n"),
-        F.sum(n * rx * rx).alias("xx"),
-        F.sum(n * ry * ry).alias("yy"),
-        F.sum(n * rx * ry).alias("xy"),
+    k = len(cols)
+    numbers = [F.nullif(F.col(c).try_cast("double"), F.lit(float("nan"))).alias(f"c{i}") for i, c in enumerate(cols)]
+    # The row number is stored, so that retries cannot number rows anew.
+    rows = stored(df.select(*numbers).withColumn("_row", F.monotonically_increasing_id()), "rank-rows")
+    first = _presence_classes(rows, k)
+    classes = sorted(set(first))
+    held = [F.col(f"c{p}").isNotNull().cast("bigint").alias(f"n{p}") for p in classes]
+    # A column is unpivoted together with what is present beside it.
+    entries = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"c{i}").alias("v")) for i in range(k)])
+    long = rows.select("_row", *held, F.inline(entries)).where(F.col("v").isNotNull())
+    cells = long.groupBy("i", "v").agg(*[F.sum(f"n{p}").alias(f"n{p}") for p in classes])
+    totals = running_totals(cells, ["i"], "v", [f"n{p}" for p in classes], rows_per_slice)
+    ranks = [(F.col(f"n{p}_before") + (F.col(f"n{p}") + 1) / 2).alias(f"r{p}") for p in classes]
+    ranked = stored(totals.select("i", "v", *[f"n{p}" for p in classes], *ranks), "ranks")
+
+    # Sizes and spreads of both margins come from the distinct values alone.
+    def margin(p: int) -> Column:
+        n, r = F.col(f"n{p}").cast("double"), F.col(f"r{p}")
+        return F.struct(F.lit(p).alias("p"), F.sum(n).alias("n"), F.sum(n * r * r).alias("sq"))
+
+    margins = ranked.groupBy("i").agg(F.array(*[margin(p) for p in classes]).alias("m")).select("i", F.inline("m"))
+    # One entry per column of a row.
+    fetched = long.select("_row", "i", "v").join(ranked.select("i", "v", *[f"r{p}" for p in classes]), ["i", "v"])
+    entry = F.struct("i", *[f"r{p}" for p in classes])
+    together = fetched.groupBy("_row").agg(
+        F.map_from_entries(F.collect_list(F.struct("i", entry.alias("e")))).alias("by")
     )
+    wide = together.select(*[F.try_element_at("by", F.lit(i)).alias(f"e{i}") for i in range(k)])
+    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
+    products = [
+        F.sum(F.col(f"e{i}.r{first[j]}") * F.col(f"e{j}.r{first[i]}")).alias(f"xy{i}_{j}") for i, j in pairs
+    ]
+    listed = F.array(*[
+        F.struct(
+            F.lit(cols[i]).alias("x_name"), F.lit(cols[j]).alias("y_name"), F.lit(i).alias("i"), F.lit(j).alias("j"),
+            F.lit(first[i]).alias("pi"), F.lit(first[j]).alias("pj"), F.col(f"xy{i}_{j}").alias("xy"),
+        )
+        for i, j in pairs
+    ])
+    sums = wide.agg(F.lit(0).alias("_"), *products).select(F.inline(listed)).where(F.col("xy").isNotNull())
+    # One row per pair on the left, one per column and class on the right.
+    x = F.broadcast(margins.select(F.col("i"), F.col("p").alias("pj"), "n", F.col("sq").alias("xx")))
+    y = F.broadcast(margins.select(F.col("i").alias("j"), F.col("p").alias("pi"), F.col("sq").alias("yy")))
+    moments = sums.join(x, ["i", "pj"]).join(y, ["j", "pi"])
     # Mean rank is (n + 1) / 2 on both sides, whatever the ties.
     centre = F.col("n") * (F.col("n") + 1) * (F.col("n") + 1) / 4
     rho = F.try_divide(
         F.col("xy") - centre, F.sqrt((F.col("xx") - centre) * (F.col("yy") - centre))
     )
-    return moments.select(*pair, F.col("n").cast("bigint").alias("n"), rho.alias("rho"))
+    return moments.select("x_name", "y_name", F.col("n").cast("bigint").alias("n"), rho.alias("rho"))

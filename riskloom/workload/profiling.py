@@ -205,7 +205,12 @@ def _(spark, sf):
     return P.category_by_label(_labelled(spark, sf), _CATEGORIES)
 
 
-_RANKED = ["Annual_Income", "Num_of_Loan", "Credit_History_Age", "Interest_Rate", "Outstanding_Debt"]
+_RANKED = [
+    "Age", "Annual_Income", "Monthly_Inhand_Salary", "Num_Bank_Accounts", "Num_Credit_Card", "Interest_Rate",
+    "Num_of_Loan", "Delay_from_due_date", "Num_of_Delayed_Payment", "Changed_Credit_Limit", "Num_Credit_Inquiries",
+    "Outstanding_Debt", "Credit_Utilization_Ratio", "Credit_History_Age", "Total_EMI_per_month", "Monthly_Balance", "label",
+]
+_RANKED_FINANCIALS = [c for c in _RANKED if c not in ("Age", "label")]
 
 
 def _spearman_sql(source: str, cols) -> str:
@@ -226,21 +231,37 @@ def _spearman_sql(source: str, cols) -> str:
     return _union(parts)
 
 
-@query("a9_spearman_matrix", _spearman_sql("fins", _RANKED), ["fins"], _RANKED)
+@query(
+    "a9_spearman_matrix",
+    """WITH ranked AS MATERIALIZED (SELECT label, "Age", f.* EXCLUDE ("Customer_ID") FROM label_rows
+  LEFT JOIN attrs USING ("Customer_ID") LEFT JOIN (SELECT "Customer_ID", """
+    + ", ".join(f'"{c}"' for c in _RANKED_FINANCIALS)
+    + ' FROM fins) AS f USING ("Customer_ID"))\n'
+    + _spearman_sql("ranked", _RANKED),
+    ["label_rows", "attrs", "fins"],
+    _RANKED,
+)
 def _(spark, sf):
-    return P.spearman_matrix(V.fins(spark, sf), _RANKED)
+    from riskloom.operators.joins import lookup_join
+
+    tables = [
+        V.attrs(spark, sf).select("Customer_ID", "Age"),
+        V.fins(spark, sf).select("Customer_ID", *_RANKED_FINANCIALS),
+    ]
+    return P.spearman_matrix(lookup_join(V.labels_silver(spark, sf), tables, "Customer_ID"), _RANKED)
 
 
-_CLICK_RANKED = ["click_1m", "click_2m", "click_3m", "label"]
+_CLICK_MONTHS = range(1, 7)
+_CLICK_RANKED = [*[f"click_{i}m" for i in _CLICK_MONTHS], "label"]
 
 
 @query(
     "a9_spearman_clicks",
-    _spearman_sql("labelled", _CLICK_RANKED).replace("SELECT 'click_1m'", """WITH labelled AS (
-  SELECT label, click_1m, click_2m, click_3m FROM label_rows LEFT JOIN (
+    _spearman_sql("labelled", _CLICK_RANKED).replace("SELECT 'click_1m'", """WITH labelled AS MATERIALIZED (
+  SELECT label, click_1m, click_2m, click_3m, click_4m, click_5m, click_6m FROM label_rows LEFT JOIN (
     SELECT "Customer_ID" """ + "".join(
-        f", min(fe_1) FILTER (datediff('month', snapshot_date, DATE '1998-06-01') = {i}) AS click_{i}m" for i in (1, 2, 3)
-    ) + """ FROM clicks WHERE snapshot_date >= DATE '1998-03-01' AND snapshot_date < DATE '1998-06-01' GROUP BY 1) AS c
+        f", min(fe_1) FILTER (datediff('month', snapshot_date, DATE '1998-06-01') = {i}) AS click_{i}m" for i in _CLICK_MONTHS
+    ) + """ FROM clicks WHERE snapshot_date >= DATE '1997-12-01' AND snapshot_date < DATE '1998-06-01' GROUP BY 1) AS c
   USING ("Customer_ID"))
 SELECT 'click_1m'""", 1),
     ["label_rows", "clicks"],
@@ -250,7 +271,7 @@ def _(spark, sf):
     from riskloom.operators.features import clickstream_pivot
     from riskloom.operators.joins import lookup_join
 
-    pivoted = clickstream_pivot(V.clicks(spark, sf), "1998-06-01", 3)
+    pivoted = clickstream_pivot(V.clicks(spark, sf), "1998-06-01", 6)
     return P.spearman_matrix(lookup_join(V.labels_silver(spark, sf), pivoted, "Customer_ID"), _CLICK_RANKED)
 
 

@@ -95,6 +95,32 @@ def test_spearman_with_nulls(skewed, rows_per_slice):
         assert rho == pytest.approx(both[a].corr(both[b]), abs=1e-9)
 
 
+def test_spearman_of_many_columns(spark):
+    """Null patterns shared by some columns only, a column without values, one without spread, a pair never together."""
+    rng = np.random.default_rng(5)
+    n = 500
+    pdf = pd.DataFrame({f"c{i}": rng.integers(0, 30, n).astype(float) for i in range(6)})
+    gaps = rng.random(n) < 0.3
+    pdf.loc[gaps, ["c1", "c2"]] = np.nan
+    pdf.loc[rng.random(n) < 0.5, "c3"] = np.nan
+    pdf["even"], pdf["odd"] = pdf.c4.where(pdf.index % 2 == 0), pdf.c5.where(pdf.index % 2 == 1)
+    pdf["flat"], pdf["none"] = 1.0, np.nan
+    cols = list(pdf.columns)
+    rows = [tuple(None if x != x else float(x) for x in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(5)
+    got = {(r.x_name, r.y_name): r for r in R.spearman(df, cols, 40).collect()}
+    for i, a in enumerate(cols):
+        for b in cols[i + 1 :]:
+            both = pdf[[a, b]].dropna()
+            if both.empty:
+                assert (a, b) not in got
+                continue
+            assert got[a, b].n == len(both)
+            want = None if "flat" in (a, b) else both.rank()[a].corr(both.rank()[b])
+            assert got[a, b].rho == (None if want is None else pytest.approx(want, abs=1e-9))
+    assert R.spearman(df.limit(0), cols).isEmpty()
+
+
 @pytest.mark.parametrize("small", [10, 100_000])
 def test_stratified_split_sizes(skewed, small):
     df, pdf = skewed
