@@ -245,10 +245,16 @@ def auc(
 
 def _presence_classes(rows: DataFrame, k: int) -> list[int]:
     """For each column ``c0``, ``c1``, ... the first one that is null in exactly the same rows."""
-    pairs = [(i, j) for j in range(k) for i in range(j)]
-    differ = [F.bool_or(F.col(f"c{i}").isNull() != F.col(f"c{j}").isNull()).alias(f"d{i}_{j}") for i, j in pairs]
-    found = rows.agg(F.lit(0), *differ).first()
-    return [next((i for i in range(j) if not found[f"d{i}_{j}"]), j) for j in range(k)]
+    nulls = rows.agg(F.lit(0), *[F.count_if(F.col(f"c{i}").isNull()).alias(f"n{i}") for i in range(k)]).first()
+    # Only columns with equally many nulls can share them, and those without any do.
+    pairs = [(i, j) for j in range(k) for i in range(j) if nulls[f"n{i}"] == nulls[f"n{j}"]]
+    unsure = [(i, j) for i, j in pairs if nulls[f"n{i}"]]
+    same = set(pairs)
+    if unsure:
+        differ = [F.expr(f"count_if((c{i} IS NULL) <> (c{j} IS NULL)) AS d{i}_{j}") for i, j in unsure]
+        found = rows.agg(*differ).first()
+        same -= {(i, j) for i, j in unsure if found[f"d{i}_{j}"]}
+    return [next((i for i in range(j) if (i, j) in same), j) for j in range(k)]
 
 
 def spearman(df: DataFrame, cols: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
@@ -288,17 +294,12 @@ def spearman(df: DataFrame, cols: Sequence[str], rows_per_slice: int = ROWS_PER_
     )
     wide = together.select(*[F.try_element_at("by", F.lit(i)).alias(f"e{i}") for i in range(k)])
     pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
-    products = [
-        F.sum(F.col(f"e{i}.r{first[j]}") * F.col(f"e{j}.r{first[i]}")).alias(f"xy{i}_{j}") for i, j in pairs
-    ]
-    listed = F.array(*[
-        F.struct(
-            F.lit(cols[i]).alias("x_name"), F.lit(cols[j]).alias("y_name"), F.lit(i).alias("i"), F.lit(j).alias("j"),
-            F.lit(first[i]).alias("pi"), F.lit(first[j]).alias("pj"), F.col(f"xy{i}_{j}").alias("xy"),
-        )
-        for i, j in pairs
-    ])
-    sums = wide.agg(F.lit(0).alias("_"), *products).select(F.inline(listed)).where(F.col("xy").isNotNull())
+    products = [F.expr(f"sum(e{i}.r{first[j]} * e{j}.r{first[i]}) AS xy{i}_{j}") for i, j in pairs]
+    listed = ", ".join(
+        f"named_struct('i', {i}, 'j', {j}, 'pi', {first[i]}, 'pj', {first[j]}, 'xy', xy{i}_{j})" for i, j in pairs
+    )
+    sums = wide.agg(F.lit(0).alias("_"), *products).select(F.expr(f"inline(array({listed}))"))
+    sums = sums.where(F.col("xy").isNotNull())
     # One row per pair on the left, one per column and class on the right.
     x = F.broadcast(margins.select(F.col("i"), F.col("p").alias("pj"), "n", F.col("sq").alias("xx")))
     y = F.broadcast(margins.select(F.col("i").alias("j"), F.col("p").alias("pi"), F.col("sq").alias("yy")))
@@ -308,4 +309,5 @@ def spearman(df: DataFrame, cols: Sequence[str], rows_per_slice: int = ROWS_PER_
     rho = F.try_divide(
         F.col("xy") - centre, F.sqrt((F.col("xx") - centre) * (F.col("yy") - centre))
     )
-    return moments.select("x_name", "y_name", F.col("n").cast("bigint").alias("n"), rho.alias("rho"))
+    x_name, y_name = (F.get(F.lit(list(cols)), F.col(c)).alias(f"{n}_name") for c, n in (("i", "x"), ("j", "y")))
+    return moments.select(x_name, y_name, F.col("n").cast("bigint").alias("n"), rho.alias("rho"))
