@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.months import as_date
 from riskloom.operators.assemble import OOT_MONTHS, TRAIN_MONTHS, window_columns
+from riskloom.session import stored
+from riskloom.sources import versions
 
 # Fixed value: how a version is named after its training date.
 VERSION_PREFIX = "credit_model_"
@@ -117,8 +119,43 @@ def resolve_model(
 
 
 def append_registry(row: DataFrame, path: str) -> None:
-    row.write.mode("append").parquet(path)
+    """Commit the registry with the versions of ``row``; rows of the same version are replaced, so a rerun adds nothing."""
+    row = stored(row, "registry-row")
 
+    def change(known: DataFrame | None) -> DataFrame:
+        if known is None:
+            return row
+        others = known.join(row.select("model_version").distinct(), "model_version", "left_anti")
+        return others.unionByName(row, allowMissingColumns=True)
 
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    versions.update(row.sparkSession, path, change)
+
+
+def read_registry(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """The registry as last committed, or at an earlier commit."""
+    found = versions.read(spark, path, number)
+    if found is None:
+        raise FileNotFoundError(f"{path} holds no registry")
+    return found
+
+
+ACTIVATIONS = "model_version string, activated_at date"
+
+
+def record_activation(
+    registry: DataFrame, path: str, version: str, day: str | date, token: str | None = None
+) -> int:
+    """Commit one more activation event. The event of a version and day is kept once."""
+    spark = registry.sparkSession
+
+    def change(known: DataFrame | None) -> DataFrame:
+        events = spark.createDataFrame([], ACTIVATIONS) if known is None else known
+        return activate_model(events, registry, version, day).distinct()
+
+    return versions.update(spark, path, change, token)
+
+
+def read_activations(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """The activation events as last committed; none before the first."""
+    found = versions.read(spark, path, number)
+    return spark.createDataFrame([], ACTIVATIONS) if found is None else found

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from riskloom.operators import assemble as A
 from riskloom.operators import model as M
+from riskloom.operators.registry import read_registry
 from riskloom.plans import medallion, scoring, training
 from riskloom.workload import views as V
 from riskloom.workload.registry import QUERIES  # noqa: F401
@@ -92,7 +93,7 @@ def test_training_and_scoring_run(spark, sf, mart):
     space = {"n_estimators": [2, 3], "max_depth": [2]}
     run = training.run_training(spark, labels, attributes, financials, "1999-03-01", f"{mart}/bank", space, draws=2)
     assert run.version == "credit_model_1999_03_01"
-    row = spark.read.parquet(f"{mart}/bank/registry").first()
+    row = read_registry(spark, f"{mart}/bank/registry").first()
     assert row["auc_train"] > 0.5 and row["gini_train"] == round(2 * row["auc_train"] - 1, 4)
     assert row["rows_train"] + row["rows_test"] + row["rows_oot"] > 0 and set(row["params"]) == set(space)
     assert set(run.baseline.columns) == {"Customer_ID", "snapshot_date", "model_name", "prediction"}
