@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import psi as X
 from riskloom.functions.months import as_date
 from riskloom.operators.cleaning import harmonise_score_name, strip_column_names
+from riskloom.operators.frequent import frequent_values
 from riskloom.operators.profile import classify_columns, score_stats
 from riskloom.operators.ranks import exact_percentiles, exact_quantiles, long_numeric
 from riskloom.session import stored
@@ -89,16 +90,25 @@ def _feature_counts(
     )
 
 
-def top_k_categories(df: DataFrame, cols: Sequence[str], k: int = TOP_CATEGORIES) -> DataFrame:
+def top_k_categories(
+    df: DataFrame, cols: Sequence[str], k: int = TOP_CATEGORIES, buckets: int | None = None
+) -> DataFrame:
     """(feature, category, n, share): the k most frequent values per column, the rest pooled.
 
-    Null counts as its own category. Equal frequencies are ordered by value.
+    Null counts as its own category. Equal frequencies are ordered by value. All distinct values are counted in one pass;
+    with ``buckets`` only those that may be frequent are, in two or three passes (see ``operators/frequent.py``), for
+    columns with about as many values as rows. The result is the same.
     """
-    counts = _category_counts(df, cols)
-    order = Window.partitionBy("feature").orderBy(F.col("n").desc(), "category")
-    top = counts.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
-    rows = counts.groupBy("feature").agg(F.sum("n").alias("all_rows"))
-    kept = top.select("feature", "category", "n")
+    if buckets is None:
+        counts = _category_counts(df, cols)
+        order = Window.partitionBy("feature").orderBy(F.col("n").desc(), "category")
+        kept = counts.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
+        kept = kept.select("feature", "category", "n")
+        rows = counts.groupBy("feature").agg(F.sum("n").alias("all_rows"))
+    else:
+        found = stored(frequent_values(_categories(df, cols), k, buckets), "top")
+        kept = found.select("feature", "category", "n")
+        rows = found.groupBy("feature").agg(F.max("all_rows").alias("all_rows"))
     pooled = (
         rows.join(kept.groupBy("feature").agg(F.sum("n").alias("kept")), "feature")
         .where(F.col("all_rows") > F.col("kept"))
@@ -111,10 +121,13 @@ def top_k_categories(df: DataFrame, cols: Sequence[str], k: int = TOP_CATEGORIES
     )
 
 
-def _category_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def _categories(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     text = df.select(*by, *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_TOKEN)).alias(c) for c in cols])
-    rows = text.unpivot(list(by), list(cols), "feature", "category")
-    return rows.groupBy(*by, "feature", "category").agg(F.count("*").alias("n"))
+    return text.unpivot(list(by), list(cols), "feature", "category")
+
+
+def _category_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    return _categories(df, cols, by).groupBy(*by, "feature", "category").agg(F.count("*").alias("n"))
 
 
 # --- feature baseline and feature PSI (definitions A and B) ------------------------------

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from riskloom.operators import decide as G
 from riskloom.operators import drift as D
 from riskloom.operators import sketches as S
-from riskloom.plans.monitoring import decide_months, monitor_scores
+from riskloom.plans.monitoring import decide_months, monitor_scores, read_decisions, store_decisions, wanted_months
 from riskloom.session import scratch_dir, stored
 from riskloom.sources import tables
+from riskloom.streaming.monitoring import watch_scores
 from riskloom.workload import views as V
 from riskloom.workload.profiling import top_k_sql
 from riskloom.workload.registry import query
@@ -489,6 +490,60 @@ def _(spark, sf):
     return G.cooldown_state(decide_months(base, cur, months, "credit_model", "1996-01-01"))
 
 
+@query(
+    "d17_decisions_by_run",
+    f"""WITH RECURSIVE {DECISION_CTE},
+wanted AS (SELECT strptime(month, '%Y-%m')::DATE AS day FROM decision WHERE wants_retrain),
+ran AS (SELECT min(day) AS day FROM wanted
+  UNION ALL SELECT (SELECT min(w.day) FROM wanted AS w WHERE w.day >= r.day + 100) FROM ran AS r
+    WHERE EXISTS (SELECT 1 FROM wanted AS w WHERE w.day >= r.day + 100))
+SELECT 'credit_model' AS model_name, month, overall, status, key_columns_high, wants_retrain,
+  CASE WHEN wants_retrain AND strptime(month, '%Y-%m')::DATE IN (SELECT day FROM ran) THEN 'retrain_model' ELSE 'skip_retrain' END AS branch
+FROM decision""",
+    ["monitored"],
+    ["overall"],
+)
+def _(spark, sf):
+    # Three runs, the months of the last one first and some of them twice: the decisions of one run over all months.
+    wanted = stored(
+        wanted_months(
+            V.monitored_baseline(spark, sf), V.monitored(spark, sf),
+            tables.month_spine(spark, "1995-01-01", "2001-12-01"), "credit_model", "1996-01-01",
+        ),
+        "wanted",
+    )
+    path = scratch_dir(spark, "decisions")
+    for run in ("month >= '1999-06'", "month < '1997-03'", "month >= '1997-03' AND month < '2000-01'"):
+        store_decisions(wanted.where(run), path, days=100, token=run)
+    return read_decisions(spark, path).drop("decided_on", "psi")
+
+
+@query(
+    "d10_watched_scores",
+    f"""WITH RECURSIVE {DECISION_CTE},
+wanted AS (SELECT strptime(month, '%Y-%m')::DATE AS day FROM decision WHERE wants_retrain),
+ran AS (SELECT min(day) AS day FROM wanted
+  UNION ALL SELECT (SELECT min(w.day) FROM wanted AS w WHERE w.day >= r.day + 100) FROM ran AS r
+    WHERE EXISTS (SELECT 1 FROM wanted AS w WHERE w.day >= r.day + 100))
+SELECT month, overall, key_columns_high, wants_retrain,
+  CASE WHEN wants_retrain AND strptime(month, '%Y-%m')::DATE IN (SELECT day FROM ran) THEN 'retrain_model' ELSE 'skip_retrain' END AS branch
+FROM decision WHERE status = 'OK'""",
+    ["monitored"],
+    ["overall"],
+)
+def _(spark, sf):
+    # The scores arrive as files of a stream, two at a time; every month is spread over all files.
+    scores = V.monitored(spark, sf).where(F.col("snapshot_date") >= F.lit("1996-01-01").cast("date"))
+    arriving, root = scratch_dir(spark, "arriving"), scratch_dir(spark, "watched")
+    scores.repartition(4, "Customer_ID").write.parquet(arriving)
+    stream = spark.readStream.schema(scores.schema).option("maxFilesPerTrigger", 2).parquet(arriving)
+    watch_scores(
+        stream, V.monitored_baseline(spark, sf), root, scratch_dir(spark, "progress"), "credit_model", "1996-01-01", days=100
+    )
+    found = read_decisions(spark, f"{root}/decisions")
+    return found.select("month", "overall", "key_columns_high", "wants_retrain", "branch")
+
+
 @query(
     "d18_monitor_scores",
     f"{DRIFT_SQL} SELECT * EXCLUDE (alert_level), {ALERT_COLUMNS} FROM drift",

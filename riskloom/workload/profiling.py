@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import drift as D
 from riskloom.operators import profile as P
 from riskloom.operators import sketches as S
+from riskloom.operators.frequent import BUCKETS
 from riskloom.session import scratch_dir
 from riskloom.workload import views as V
 from riskloom.workload.registry import query
@@ -409,6 +410,15 @@ def _(spark, sf):
     return D.top_k_categories(V.order_features(spark, sf), ["priority", "branch"])
 
 
+ORDER_CODES = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"]
+
+
+@query("a13_top_k_wide", top_k_sql("orders", ORDER_CODES, 50), [], ["share"])
+def _(spark, sf):
+    # From one value per row to three values in all.
+    return D.top_k_categories(V.table(spark, sf, "orders"), ORDER_CODES, buckets=BUCKETS)
+
+
 @query("a13_top_k_brands", top_k_sql("part", ["p_brand"], 20), [], ["share"])
 def _(spark, sf):
     return D.top_k_categories(V.table(spark, sf, "part"), ["p_brand"], 20)

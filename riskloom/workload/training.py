@@ -14,6 +14,7 @@ from riskloom.operators import ranks
 from riskloom.operators import registry as G
 from riskloom.plans.training import training_rows
 from riskloom.session import scratch_dir, shared_root
+from riskloom.sources import versions
 from riskloom.workload import views as V
 from riskloom.workload.registry import query
 
@@ -371,6 +372,25 @@ def _(spark, sf):
     return out
 
 
+@query(
+    "m10_activation_commits",
+    """SELECT 'credit_model_1996_01_01' AS model_version, DATE '2030-01-01' AS activated_at FROM registry HAVING count(*) > 0
+UNION ALL SELECT model_version, activated_at FROM activations WHERE model_version IN (SELECT model_version FROM registry)""",
+    ["registry", "activations"],
+)
+def _(spark, sf):
+    registry, events = V.registry_view(spark, sf), V.activations_view(spark, sf)
+    bank = scratch_dir(spark, "bank")
+    G.append_registry(registry, f"{bank}/registry")
+    saved = G.read_registry(spark, f"{bank}/registry")
+    known = events.join(saved.select("model_version"), "model_version", "left_semi")
+    versions.update(spark, f"{bank}/events", lambda _: known.select("model_version", "activated_at"))
+    # Once more by a rerun, and a version that is not there.
+    for version in ("credit_model_1996_01_01", "credit_model_1996_01_01", "credit_model_1900_01_01"):
+        G.record_activation(saved, f"{bank}/events", version, "2030-01-01")
+    return G.read_activations(spark, f"{bank}/events")
+
+
 @query(
     "m10_activate_model",
     f"""SELECT 'before' AS state, model_version FROM ({ACTIVE}) AS a
