@@ -65,10 +65,24 @@ WORD = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "aside", "score")
+    """An element and what is known of those around it, so that nothing has to climb: the nearest block element and the
+    nearest container at or above it."""
 
-    def __init__(self, tag: str, path: str, parent: Element | None, aside: bool):
-        self.tag, self.path, self.parent, self.aside, self.score = tag, path, parent, aside, 0.0
+    __slots__ = ("tag", "step", "parent", "aside", "score", "block", "container", "matched", "inside")
+
+    def __init__(self, tag: str, step: str, parent: Element | None, aside: bool):
+        self.tag, self.step, self.parent, self.aside, self.score = tag, step, parent, aside, 0.0
+        self.block = self if parent is None or tag in BLOCKS else parent.block
+        self.container = self if tag in CONTAINERS else parent and parent.container
+        self.matched, self.inside = 0, False
+
+    @property
+    def path(self) -> str:
+        steps, e = [], self
+        while e.parent is not None:
+            steps.append(e.step)
+            e = e.parent
+        return ">".join(reversed(steps))
 
 
 @dataclass
@@ -138,30 +152,42 @@ class Parser:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                owner = stack[-1]
-                while owner.tag not in BLOCKS and owner.parent is not None:
-                    owner = owner.parent
+                owner = stack[-1].block
                 if not owner.aside:
                     page.blocks.append(Block(owner, text))
 
+        # Where the open elements of each tag are in the stack.
+        open_at: dict[str, list[int]] = {}
+
+        def last(tags) -> int:
+            found = 0
+            for t in tags:
+                places = open_at.get(t)
+                if places and places[-1] > found:
+                    found = places[-1]
+            return found
+
         def close(tags, stop) -> None:
-            for i in range(len(stack) - 1, 0, -1):
-                tag = stack[i].tag
-                if tag in tags:
-                    if any(e.tag in BLOCKS for e in stack[i:]):
-                        flush()
-                    del stack[i:]
-                    return
-                if tag in stop:
-                    return
+            i = last(tags)
+            if i and (i == len(stack) - 1 or last(stop) <= i):
+                if any(e.tag in BLOCKS for e in stack[i:]):
+                    flush()
+                for e in stack[i:]:
+                    open_at[e.tag].pop()
+                del stack[i:]
 
         html = html or ""
-        at = here = 0
+        at = here = after = 0
         while True:
             start = html.find("<", here)
-            end = html.find(">", start + 1) if start >= 0 else -1
-            if end < 0:
+            if start >= after:
+                after = html.find(">", start + 1)
+            end = after
+            if start < 0 or end < 0:
                 break
+            if end - start > 200 and not (NAME.match(html, start + 1) or html.startswith(("!", "?"), start + 1)):
+                here = start + 1  # a plain "<" far from any end
+                continue
             token = html[start + 1 : end]
             found = known.get(token)
             if found is None:
@@ -200,11 +226,11 @@ class Parser:
                     at = here = close_tag.end() if close_tag else len(html)
                 continue
             # The head of an article is part of it; that of a page is not.
-            if tag == "header" and beside and any(e.tag in ("article", "main") for e in stack):
+            if tag == "header" and beside and (open_at.get("article") or open_at.get("main")):
                 beside = False
             above = stack[-1]
-            path = f"{above.path}>{step}" if above.path else step
-            element = Element(tag, path, above, above.aside or beside)
+            element = Element(tag, step, above, above.aside or beside)
+            open_at.setdefault(tag, []).append(len(stack))
             stack.append(element)
             page.elements.append(element)
         if at < len(html) and not stack[-1].aside:
@@ -214,12 +240,9 @@ class Parser:
 
 
 def _containers_above(element: Element) -> list[Element]:
-    found, e = [], element
-    while e is not None and len(found) < 2:
-        if e.tag in CONTAINERS:
-            found.append(e)
-        e = e.parent
-    return found
+    first = element.container
+    second = first and first.parent.container
+    return [e for e in (first, second) if e]
 
 
 def best_container(page: Page) -> Element | None:
@@ -234,25 +257,34 @@ def best_container(page: Page) -> Element | None:
     return best
 
 
-def _inside(element: Element, chosen: set[int]) -> bool:
-    e = element
-    while e is not None:
-        if id(e) in chosen:
-            return True
-        e = e.parent
-    return False
+def _at_path(page: Page, path: str) -> set[int]:
+    """The elements at ``path`` that are no asides. Each knows how much of the path leads to it, -1 if none does."""
+    found = set()
+    for e in page.elements:
+        at, piece = e.parent.matched, e.step if e.parent.parent is None else ">" + e.step
+        e.matched = at + len(piece) if at >= 0 and path.startswith(piece, at) else -1
+        if e.matched == len(path) and not e.aside:
+            found.add(id(e))
+    return found
+
+
+def _text_in(page: Page, chosen: set[int]) -> str:
+    """The blocks in the chosen elements; elements come after those around them."""
+    for e in page.elements:
+        e.inside = e.parent.inside or id(e) in chosen
+    return "\n".join(b.text for b in page.blocks if b.owner.inside)
 
 
 def main_text(page: Page, path: str | None) -> tuple[str, str | None]:
     """The text of the containers at ``path``, or of the page's best one, and the path used."""
-    chosen = {id(e) for e in page.elements if path and e.path == path and not e.aside}
-    text = "\n".join(b.text for b in page.blocks if _inside(b.owner, chosen)) if chosen else ""
+    chosen = _at_path(page, path) if path else set()
+    text = _text_in(page, chosen) if chosen else ""
     if text:
         return text, path
     best = best_container(page)
     if best is None:
         return "\n".join(b.text for b in page.blocks), None
-    return "\n".join(b.text for b in page.blocks if _inside(b.owner, {id(best)})), best.path
+    return _text_in(page, {id(best)}), best.path
 
 
 def page_votes(pages: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ on any cluster, draws the same. All copies are then shuffled by a hash of their
 
 Defined results: a null text is empty and is drawn like others; a null source is a source of its own; rows that share an
 id share the draw; sources without characters keep the mean rate; an empty table gives an empty mixture; other columns
-pass through, those named like a result are replaced.
+pass through, those named like a result are replaced. A source of few characters beside a large corpus has a high rate; its
+documents are drawn in a bounded number of steps and their copies are dealt over the tasks in blocks.
 """
 
 from __future__ import annotations
@@ -22,6 +23,15 @@ from riskloom.llm.common import lookup_join, stored
 #: A mean above this is drawn as the sum of several draws, since exp(-mean) would get too small.
 MEAN_OF_A_DRAW = 500.0
 
+#: A mean that would take more draws is drawn from the normal distribution with the same mean, variance and skewness.
+MOST_DRAWS = 4_096
+
+#: Steps that halve the distribution of a draw, which has fewer than 1,024 entries.
+HALVES = [2**i for i in range(9, -1, -1)]
+
+#: Copies of a document that one row of a task turns into.
+BLOCK_COPIES = 10_000
+
 #: Characters of one output partition.
 PARTITION_CHARS = 64_000_000
 
@@ -67,8 +77,29 @@ def target_rates(
         F.col("chars") > 0, share / (F.lit(float(sum_weights or 1)) * F.col("chars"))
     ).otherwise(float(epochs))
     rates = sizes.withColumn("rate", rate)
-    rates = rates.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("rate") / MEAN_OF_A_DRAW).cast("int")))
-    return stored(rates.withColumn("cdf", _cdf(F.col("rate") / F.col("parts"))), "mix-rates")
+    draws = F.greatest(F.lit(1), F.ceil(F.col("rate") / MEAN_OF_A_DRAW))
+    rates = rates.withColumn("parts", F.when(draws <= MOST_DRAWS, draws).otherwise(0).cast("int"))
+    cdf = F.when(F.col("parts") > 0, _cdf(F.col("rate") / F.greatest("parts", F.lit(1))))
+    return stored(rates.withColumn("cdf", cdf.otherwise(F.array().cast("array<double>"))), "mix-rates")
+
+
+def _entries_up_to(cdf: Column, number: Column) -> Column:
+    """How many entries of the rising ``cdf`` are at most ``number``: the entry is found by halving."""
+    halves = F.array(*[F.lit(h) for h in HALVES])
+
+    def step(at: Column, half: Column) -> Column:
+        inside = (at + half <= F.size(cdf)) & (F.get(cdf, at + half - 1) <= number)
+        return F.when(inside, at + half).otherwise(at)
+
+    return F.aggregate(halves, F.lit(0), step)
+
+
+def _large(mean: Column, *seed: Column) -> Column:
+    """A draw with a large mean: a normal number, corrected for the skewness."""
+    radius = F.sqrt(-2 * F.log(1 - uniform(*seed, F.lit("radius"))))
+    normal = radius * F.cos(uniform(*seed, F.lit("angle")) * 2 * math.pi)
+    skewed = F.transform(F.array(normal), lambda z: mean + z * F.sqrt(mean) + (z * z - 1) / 6)[0]
+    return F.greatest(F.lit(0).cast("long"), F.round(skewed).cast("long"))
 
 
 def draw(docs: DataFrame, rates: DataFrame, seed: int) -> DataFrame:
@@ -79,20 +110,43 @@ def draw(docs: DataFrame, rates: DataFrame, seed: int) -> DataFrame:
         F.col("source").eqNullSafe(F.col("_rated_source")),
     )
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    below = lambda j: F.size(
-        F.filter("cdf", lambda c: c <= uniform(F.lit(seed), doc, j))
-    ).cast("long")
-    count = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0).cast("long"), lambda n, j: n + below(j))
+    # The one-element array has the number worked out once, not once per step.
+    below = lambda j: F.transform(
+        F.array(uniform(F.lit(seed), doc, j)), lambda u: _entries_up_to(F.col("cdf"), u)
+    )[0].cast("long")
+    summed = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0).cast("long"), lambda n, j: n + below(j))
+    count = F.when(F.col("parts") > 0, summed).otherwise(_large(F.col("rate"), F.lit(seed), doc))
     return rows.withColumn("n_copies", count).drop("_rated_source", "parts", "cdf")
 
 
-def replicate(drawn: DataFrame, seed: int) -> DataFrame:
-    """One row per copy with its number ``copy``, from 1, and ``shuffle_key``."""
-    copies = F.when(
-        F.col("n_copies") > 0, F.sequence(F.lit(1).cast("long"), F.col("n_copies"))
-    ).otherwise(F.array().cast("array<bigint>"))
+def most_copies(rates: DataFrame) -> int:
+    """More copies than any document can get: the ends of the distributions, summed over the draws."""
+    ends = F.when(F.col("parts") > 0, F.col("parts").cast("long") * F.size("cdf"))
+    return rates.agg(F.max(ends.otherwise(2**62))).first()[0] or 0
+
+
+def replicate(drawn: DataFrame, seed: int, most: int | None = None) -> DataFrame:
+    """One row per copy with its number ``copy``, from 1, and ``shuffle_key``.
+
+    Documents with more copies than a block go to as many tasks as they have blocks. With ``most``, more copies than any
+    document has, they are only looked for where there can be some.
+    """
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    rows = drawn.drop("copy").withColumn("copy", F.explode(copies))
+    one = F.lit(1).cast("long")
+    numbers = lambda lo, hi: F.when(
+        hi >= lo, F.sequence(lo, hi)
+    ).otherwise(F.array().cast("array<bigint>"))
+    drawn = drawn.drop("copy")
+    few = drawn if most is not None and most <= BLOCK_COPIES else drawn.filter(F.col("n_copies") <= BLOCK_COPIES)
+    rows = few.withColumn("copy", F.explode(numbers(one, F.col("n_copies"))))
+    if few is not drawn:
+        last = F.floor((F.col("n_copies") - 1) / BLOCK_COPIES).cast("long")
+        blocks = drawn.filter(F.col("n_copies") > BLOCK_COPIES).withColumn("_copy_block", F.explode(F.sequence(one - 1, last)))
+        parts = int(drawn.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocks = blocks.repartition(parts, F.xxhash64(doc, "_copy_block"))
+        first = F.col("_copy_block") * BLOCK_COPIES
+        upto = F.least(first + BLOCK_COPIES, F.col("n_copies"))
+        rows = rows.unionByName(blocks.withColumn("copy", F.explode(numbers(first + 1, upto))).drop("_copy_block"))
     return rows.withColumn("shuffle_key", uniform(F.lit(seed), F.lit("order"), doc, F.col("copy")))
 
 
@@ -113,4 +167,4 @@ def mix(
 ) -> DataFrame:
     rates = target_rates(docs, weights, default_weight, epochs)
     chars = rates.agg(F.sum(F.col("chars") * F.col("rate"))).first()[0] or 0
-    return shuffled(replicate(draw(docs, rates, seed), seed), math.ceil(chars))
+    return shuffled(replicate(draw(docs, rates, seed), seed, most_copies(rates)), math.ceil(chars))

@@ -203,6 +203,50 @@ def test_large_means_are_drawn_in_parts(spark):
     assert np.var(counts) == pytest.approx(1300, rel=0.15)
 
 
+def test_a_tiny_source_beside_a_large_corpus(spark):
+    # Rates of 500 thousand (drawn in 1,000 parts) and 50 million (drawn at once).
+    rows = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("s").alias("source"))
+    for epochs, parts in ((500_000.0, 1000), (50_000_000.0, 0)):
+        rates = mixing.target_rates(rows, {}, epochs=epochs)
+        assert rates.first()["parts"] == parts
+        counts = np.array([r.n_copies for r in mixing.draw(rows, rates, 1).collect()])
+        z = (counts - epochs) / math.sqrt(epochs)
+        assert abs(z.mean()) < 0.6 and 0.6 < z.std() < 1.5 and len(set(counts)) > 35
+        assert all(c < mixing.most_copies(rates) for c in counts)
+
+
+def test_copies_of_one_document_are_dealt_in_blocks(spark):
+    n = 3 * mixing.BLOCK_COPIES + 17
+    drawn = spark.createDataFrame([(1, n), (2, 2), (3, 0), (None, mixing.BLOCK_COPIES + 1)], "doc_id long, n_copies long")
+    out = mixing.replicate(drawn, 5)
+    per = {r.doc_id: r for r in out.groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.countDistinct("copy").alias("d"), F.min("copy").alias("lo"), F.max("copy").alias("hi")
+    ).collect()}
+    assert {k: (r.n, r.d, r.lo, r.hi) for k, r in per.items()} == {
+        1: (n, n, 1, n), 2: (2, 2, 1, 2), None: (mixing.BLOCK_COPIES + 1, mixing.BLOCK_COPIES + 1, 1, mixing.BLOCK_COPIES + 1)
+    }
+    big = out.where("doc_id = 1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(big) > 1 and max(r["count"] for r in big) < n
+    few = drawn.where("n_copies < 10")
+    same = lambda df: sorted((r.doc_id, r.copy, r.shuffle_key) for r in df.collect())
+    assert same(mixing.replicate(few, 5)) == same(mixing.replicate(few, 5, most=100))
+
+
+def test_wide_lookups_are_not_broadcast(spark, monkeypatch):
+    from riskloom.llm import common
+
+    rows = spark.range(100).select(F.col("id").alias("a"))
+    wide = spark.range(100).select(F.col("id").alias("b"), F.array_repeat(F.lit(0.5), 1000).alias("v"))
+    plan = lambda: common.lookup_join(rows, wide, F.col("a") == F.col("b"))._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan()
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 500_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_mixing_of_messy_rows(messy, nothing):
     out = mixing.mix(messy, {"a": 3.0}).collect()
     drawn = mixing.draw(messy, mixing.target_rates(messy, {"a": 3.0}), 17).collect()

@@ -102,6 +102,34 @@ def test_broken_markup_does_not_end_the_parser():
     assert html.main_text(parser.parse("<p>" + "a <b>b</b> " * 20_000), None)[0].startswith("a b a b")
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div>x" * 50_000, 50_000),
+        ("<font>" * 50_000 + "x", 1),
+        ("<div>" * 20_000 + "</section>" * 20_000 + "x", 1),
+        ("<p><table>" + "<font>" * 20_000 + "<div>y</div>" * 20_000, 20_000),
+        ("<" * 300_000 + ">x", 1),
+    ],
+)
+def test_deep_and_broken_nesting_takes_linear_time(page, text):
+    import time
+
+    before = time.process_time()
+    parser = html.Parser()
+    found, path = html.main_text(parser.parse(page), "body>div")
+    assert time.process_time() - before < 20
+    best = html.best_container(parser.parse(page))
+    assert found.count("x") + found.count("y") >= min(text, 1) and (best is None or best.path == path)
+
+
+def test_a_path_leads_to_its_elements_only():
+    page = html.Parser().parse('<body><div class="a"><div>one</div></div><div class="a b"><div>two</div></div><diva>x</diva></body>')
+    for path, text in (("body>div.a", "one"), ("body>div.a.b>div", "two"), ("body>div.a>div", "one")):
+        assert html.main_text(page, path) == (text, path)
+    assert {e.path for e in page.elements if id(e) in html._at_path(page, "body>div")} == set()
+
+
 # --- conversations ---
 
 MESSAGES = "tree_id long, message_id string, parent_id string, role string, text string, score double"
