@@ -559,3 +559,39 @@ def test_every_training_document_reaches_the_weights(spark):
     if held.count():
         model = lm.train(held, counts, settings)
         assert all((model[k] == untrained[k]).all() for k in model)
+
+
+ELSEWHERE = """
+import sys
+sys.path.insert(0, {repo!r})
+from riskloom.session import build_session
+from riskloom.llm import lm, queries
+spark = build_session("elsewhere", **{{"spark.master": "local[2]", "spark.sql.shuffle.partitions": "2"}})
+rows = [(i, f"w{{i}} says it again and again " * 20) for i in range(12)]
+docs = spark.createDataFrame(rows, "doc_id long, text string")
+print("scored", lm.score(docs, queries.piece_model(), lm.Settings(rounds=1, one_in=1)).filter("score < 0").count())
+spark.stop()
+"""
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", ELSEWHERE.format(repo=repo)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+    )
+    assert "scored 12" in done.stdout, done.stderr[-2000:]
+
+
+def test_a_word_that_fills_documents_is_counted_once_per_document(spark):
+    rows = [(i, "rare " * 5_000 + f"w{i}") for i in range(6)] + [(6, "rare"), (6, "rare"), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counted = lm._occurrences(lm._rows(docs), set())
+    assert counted.filter(f"kind = {lm.OTHER}").count() == 14
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 10 == 0}
+    c = lm._word_counts(counted.filter(f"kind = {lm.OTHER}")).agg(F.max("c")).first()[0]
+    assert c == sum((t or "").split().count("rare") for i, t in rows if i not in held)
