@@ -48,7 +48,7 @@ def build_bronze(
 def build_silver(spark: SparkSession, feeds: list[str], root: str, lo: str | date, hi: str | date) -> None:
     for feed in feeds:
         raw = read_snapshots(spark, f"{root}/bronze/{feed}", lo, hi)
-        write_table(SILVER[feed](raw), f"{root}/silver/{feed}", months=listed_months(lo, hi))
+        write_table(SILVER[feed](raw), f"{root}/silver/{feed}", rebalance=False, months=listed_months(lo, hi))
 
 
 def build_gold(
@@ -58,7 +58,7 @@ def build_gold(
     months = listed_months(lo, hi)
     write_labels(read_snapshots(spark, f"{root}/silver/ledger", lo, hi), root, dpd, mob, months)
     financials = read_snapshots(spark, f"{root}/silver/financials", lo, hi)
-    write_table(customer_risk_features(financials), f"{root}/gold/customer_risk", months=months)
+    write_table(customer_risk_features(financials), f"{root}/gold/customer_risk", rebalance=False, months=months)
     clicks = spark.read.parquet(f"{root}/silver/clickstream")
     write_table(engagement_features_all(clicks, lo, hi), f"{root}/gold/engagement", months=months)
 
@@ -67,7 +67,12 @@ def write_labels(ledger: DataFrame, root: str, dpd: int, mob: int, months: Seque
     """Replace one definition of the label in ``months``; other definitions stay."""
     own = {"label_def": f"{dpd}dpd_{mob}mob"}
     write_table(
-        label_store(ledger, dpd, mob), f"{root}/gold/label_store", ["label_def", MONTH], months=months, within=own
+        label_store(ledger, dpd, mob),
+        f"{root}/gold/label_store",
+        ["label_def", MONTH],
+        rebalance=False,
+        months=months,
+        within=own,
     )
 
 
@@ -126,13 +131,15 @@ def refresh(
             # The schema is given, since a table may have lost all its months.
             rows = spark.read.schema(T.StructType([*raw.drop(MONTH).schema, T.StructField(MONTH, T.DateType())]))
             own = rows.parquet(bronze).where(F.col(MONTH).isin(months))
-            write_table(SILVER[feed](own), f"{root}/silver/{feed}", months=months)
+            # Bronze files hold one month each, so neither silver nor what is made of it row by row is dealt anew.
+            write_table(SILVER[feed](own), f"{root}/silver/{feed}", rebalance=False, months=months)
         if feed == "ledger":
             _refresh_own(spark, root, feed, differing(f"labels_{dpd}dpd_{mob}mob"), done, "gold/label_store",
                          lambda rows, m: write_labels(rows, root, dpd, mob, m))
         elif feed == "financials":
             _refresh_own(spark, root, feed, months, done, "gold/customer_risk",
-                         lambda rows, m: write_table(customer_risk_features(rows), f"{root}/gold/customer_risk", months=m))
+                         lambda rows, m: write_table(
+                             customer_risk_features(rows), f"{root}/gold/customer_risk", rebalance=False, months=m))
         elif feed == "clickstream":
             targets = sorted(later_months(months, range(1, ENGAGEMENT_MONTHS + 1)) & set(span))
             _refresh_own(spark, root, feed, targets, done, "gold/engagement",

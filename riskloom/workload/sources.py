@@ -237,7 +237,9 @@ def _(spark, sf):
     clicks = V.clicks_text(spark, sf)
 
     def deliver(rows, feed):
-        rows.select(*FEEDS[feed]).write.mode("overwrite").option("header", True).option("escape", '"').csv(paths[feed])
+        # Packed text is read file by file, so files are kept small.
+        writer = rows.select(*FEEDS[feed]).write.mode("overwrite").option("header", True).option("escape", '"')
+        writer.option("maxRecordsPerFile", 1_000_000).csv(paths[feed], compression="gzip")
 
     deliver(V.ledger(spark, sf), "ledger")
     for rows in (clicks, clicks.where(F.col("snapshot_date").cast("date") != F.lit("1998-03-01").cast("date"))):

@@ -112,3 +112,21 @@ def test_rerun_empties_months_of_its_own_definition_only(spark, scratch):
 def test_months():
     assert listed_months("2023-11-15", "2024-02-01") == [date(2023, 11, 1), date(2023, 12, 1), date(2024, 1, 1), date(2024, 2, 1)]
     assert later_months([date(2023, 12, 1)], [0, 1, 13]) == {date(2023, 12, 1), date(2024, 1, 1), date(2025, 1, 1)}
+
+
+def test_monthly_input_is_not_dealt_anew(spark, sf, scratch, monkeypatch):
+    """Silver and labels are written month by month from what is already clustered, with few files open and no sort."""
+    root, seen = scratch("clustered"), {}
+    write = medallion.write_table
+
+    def watched(df, path, *args, rebalance=True, **more):
+        seen[path.removeprefix(f"{root}/mart/")] = rebalance
+        write(df, path, *args, rebalance=rebalance, **more)
+
+    monkeypatch.setattr(medallion, "write_table", watched)
+    _write(V.ledger(spark, sf), "ledger", f"{root}/raw")
+    medallion.refresh(spark, {"ledger": f"{root}/raw"}, f"{root}/mart", LO, HI, dpd=30, mob=3)
+    assert seen == {"silver/ledger": False, "gold/label_store": False}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    months = spark.read.parquet(f"{root}/mart/silver/ledger")
+    assert months.count() == spark.read.parquet(f"{root}/mart/bronze/ledger").count() > 0
