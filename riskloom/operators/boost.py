@@ -29,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.ranks import auc, exact_percentiles, long_numeric
+from riskloom.operators.ranks import ACCURACY, MARGIN, SMALL_GROUP, auc, running_totals
 from riskloom.session import stored
 
 # Executor code of this module is shipped by value, so executors need no installed copy of it.
@@ -38,8 +38,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BINS = 32
 UNIT = 1 << 24
 STORE_EVERY = 10
-# Quantiles that are looked for at once.
-PROBS = 16
+# Rows of a stored file: a pass takes long for the bytes it reads, so cores are kept busy by files, not by sizes.
+FILE_ROWS = 50_000
 # Sums of this many tasks are merged at once.
 FAN_IN = 64
 # Least gain that counts as one.
@@ -148,17 +148,75 @@ class BoostedTrees:
 
 
 def feature_edges(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list[list[float]]:
-    """Distinct exact quantiles of every feature, at most ``bins`` - 1 each, without its largest value."""
+    """Distinct exact quantiles of every feature, at most ``bins`` - 1 each, without its largest value.
+
+    A sketch brackets each quantile as in :mod:`riskloom.operators.ranks`. One pass then sorts some thousand values at a
+    time, which counts those below all brackets at once and collapses those inside them.
+    """
     probs = [i / bins for i in range(1, bins)]
-    rows = stored(long_numeric(df, features), "boost-values")
-    # Some quantiles at a time, so that the counting expressions stay compiled.
-    parts = [exact_percentiles(rows, ["feature"], "value", probs[i : i + PROBS]) for i in range(0, len(probs), PROBS)]
-    found: dict[str, set[float]] = {}
-    for part in parts:
-        for r in part.collect():
-            found.setdefault(r.feature, set()).update(r.quantiles)
-    largest = {r.feature: r.largest for r in rows.groupBy("feature").agg(F.max("value").alias("largest")).collect()}
-    return [sorted(q for q in found.get(f, ()) if q < largest[f]) for f in features]
+    names = [f"f{i}" for i in range(len(features))]
+    numbers = [F.nullif(F.col(f).try_cast("double"), F.lit(float("nan"))).alias(n) for f, n in zip(features, names)]
+    rows = stored(df.select(*numbers), "boost-values", FILE_ROWS)
+    ends = [(max(p - MARGIN, 0.0), min(p + MARGIN, 1.0)) for p in probs]
+    inner = sorted({p for pair in ends for p in pair})
+    # Some numbers per feature.
+    sketches = rows.select(
+        *[
+            F.struct(
+                F.count(n).alias("n"),
+                F.min(n).alias("least"),
+                F.max(n).alias("largest"),
+                F.percentile_approx(n, inner, ACCURACY).alias("near"),
+            ).alias(n)
+            for n in names
+        ]
+    ).first()
+    known = {f: s for f, s in enumerate(sketches) if s.n} if probs and names else {}
+
+    brackets = {}
+    for f, s in known.items():
+        whole = s.n <= SMALL_GROUP
+        los = [s.least if whole or lo == 0.0 else s.near[inner.index(lo)] for lo, _ in ends]
+        his = [s.largest if whole or hi == 1.0 else s.near[inner.index(hi)] for _, hi in ends]
+        brackets[f] = np.array(los), np.array(his)
+    if not brackets:
+        return [[] for _ in features]
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        below = {f: np.zeros(len(probs), dtype=np.int64) for f in brackets}
+        for batch in batches:
+            held: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+            for f, (los, his) in brackets.items():
+                values = batch[names[f]].to_numpy(dtype=float)
+                # Zero has one sign.
+                values = np.sort(values[~np.isnan(values)]) + 0.0
+                starts, stops = np.searchsorted(values, los, side="left"), np.searchsorted(values, his, side="right")
+                below[f] += starts
+                for i in np.flatnonzero(stops > starts):
+                    value, copies = np.unique(values[starts[i] : stops[i]], return_counts=True)
+                    held.append((f, int(i), value, copies))
+            if held:
+                sizes = [len(value) for _, _, value, _ in held]
+                feature, place = (np.repeat([h[k] for h in held], sizes) for k in (0, 1))
+                value, copies = (np.concatenate([h[k] for h in held]) for k in (2, 3))
+                yield pd.DataFrame({"feature": feature, "i": place, "value": value, "copies": copies, "below": 0})
+        for f, (los, _) in brackets.items():
+            yield pd.DataFrame({"feature": f, "i": range(len(probs)), "value": los + 0.0, "copies": 0, "below": below[f]})
+
+    counts = rows.mapInPandas(count, "feature int, i int, value double, copies long, below long")
+    cells = counts.groupBy("feature", "i", "value").agg(F.sum("copies").alias("copies"), F.sum("below").alias("below"))
+    placed = running_totals(cells, ["feature", "i"], "value", ["copies", "below"])
+    ranks = [max(1, math.ceil(round(p * known[f].n, 6))) if f in known else 0 for f in range(len(names)) for p in probs]
+    wanted = F.get(F.lit(ranks), F.col("feature") * len(probs) + F.col("i"))
+    before = F.col("below_group") + F.col("copies_before")
+    own = placed.where((before < wanted) & (wanted <= before + F.col("copies"))).select("feature", "value").collect()
+    if len(own) != len(brackets) * len(probs):
+        raise ValueError("rank outside its bracket")
+    found: list[set[float]] = [set() for _ in features]
+    for r in own:
+        if r.value < known[r.feature].largest:
+            found[r.feature].add(r.value)
+    return [sorted(values) for values in found]
 
 
 def binned_rows(
@@ -182,7 +240,7 @@ def binned_rows(
                 bins[:, i] = np.where(np.isnan(values), 0, np.searchsorted(edge, values, side="left"))
             yield batch[["y", "fold", "draw"]].assign(bins=[b.tobytes() for b in bins], margins=b"")
 
-    return stored(rows.mapInPandas(sort_in, "y double, fold int, draw long, bins binary, margins binary"), "boost-rows")
+    return stored(rows.mapInPandas(sort_in, "y double, fold int, draw long, bins binary, margins binary"), "boost-rows", FILE_ROWS)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -320,7 +378,7 @@ def _with_margins(rows: DataFrame, models: list[Model], keep: list[int], n_featu
             now = np.stack([_margin(models[m], binned, before[:, m]) for m in keep], axis=1)
             yield part.assign(margins=[x.tobytes() for x in np.ascontiguousarray(now)])
 
-    return stored(rows.mapInPandas(move, rows.schema), "boost-rows")
+    return stored(rows.mapInPandas(move, rows.schema), "boost-rows", FILE_ROWS)
 
 
 def grow(
@@ -361,10 +419,17 @@ def grow(
 
 
 def train(
-    df: DataFrame, features: Sequence[str], label: str, key: Sequence[str], params: Params = Params(), seed: int = 42, bins: int = BINS
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    key: Sequence[str],
+    params: Params = Params(),
+    seed: int = 42,
+    bins: int = BINS,
+    edges: list[list[float]] | None = None,
 ) -> BoostedTrees:
-    """One model over all rows with a label."""
-    edges = feature_edges(df, features, bins)
+    """One model over all rows with a label. ``edges`` are those of a search over the same rows, else worked out."""
+    edges = feature_edges(df, features, bins) if edges is None else edges
     rows = binned_rows(df, features, label, edges, key)
     _, (model,) = grow(rows, [Model(params)], len(features), params.n_estimators, bins, seed)
     return BoostedTrees(list(features), edges, model.trees, params)
@@ -386,10 +451,11 @@ def held_out_scores(rows: DataFrame, models: list[Model], names: list[int], n_fe
 
 @dataclass
 class Search:
-    """Candidates with the rung they reached and their mean held-out AUC there; the best first."""
+    """Candidates with the rung they reached and their mean held-out AUC there, the best first; the cuts of the features."""
 
     table: list[tuple[int, Params, int, float]]
     scores: list[DataFrame]
+    edges: list[list[float]]
 
     @property
     def best(self) -> Params:
@@ -440,5 +506,5 @@ def search(
                 x.stored = len(x.trees)
             alive = going
     order = sorted(reached, key=lambda c: (-reached[c][0], -reached[c][1], c))
-    return Search([(c, candidates[c], *reached[c]) for c in order], kept_scores)
+    return Search([(c, candidates[c], *reached[c]) for c in order], kept_scores, edges)
 

@@ -54,7 +54,7 @@ def _prepared(preprocessor: Preprocessor, train: DataFrame, label: str, key: Seq
     """Stored: key, label and prepared features, which the passes of the learner read again and again."""
     kept = [c for c in dict.fromkeys([*key, label]) if c not in preprocessor.features]
     rows = preprocessor.transform(train.withColumns(extra))
-    return stored(rows.select(*kept, *extra, *preprocessor.features), "training-rows")
+    return stored(rows.select(*kept, *extra, *preprocessor.features), "training-rows", boost.FILE_ROWS)
 
 
 def train_classifier(
@@ -113,7 +113,7 @@ def random_search(
     names = preprocessor.features
     candidates = [Params(**point) for point in drawn]
     found = boost.search(rows, names, label, key, candidates, folds, rungs, F.col("_fold"), SEED)
-    trees = boost.train(rows, names, label, key, found.best, SEED)
+    trees = boost.train(rows, names, label, key, found.best, SEED, edges=found.edges)
     fitted = ScoringModel(preprocessor, trees, drawn[found.table[0][0]])
     return fitted, [(drawn[c], area) for c, _, _, area in found.table]
 

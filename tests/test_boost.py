@@ -140,3 +140,32 @@ def test_search_shares_passes_and_halves(spark, table):
             assert value == pytest.approx(areas[c])
     worst_kept = min(areas[c] for c, _, rung, _ in found.table if rung)
     assert all(areas[c] <= worst_kept for c, _, rung, _ in found.table if not rung)
+
+
+def test_edges_are_exact_quantiles_in_one_pass(spark):
+    draw = random.Random(5)
+    rows = [(draw.gauss(0, 1), draw.choice([None, -0.0, 0.0, 3.0, float("nan")]), draw.choice(["7", "x", "1e3"]), None) for _ in range(6000)]
+    df = spark.createDataFrame(rows, "a double, few double, text string, none double").repartition(3)
+    got = boost.feature_edges(df, ["a", "few", "text", "none"])
+
+    def plain(values):
+        values = sorted(values)
+        cuts = {values[max(1, math.ceil(i / 32 * len(values))) - 1] for i in range(1, 32)}
+        return sorted(c for c in cuts if c < values[-1])
+
+    few = [r[1] for r in rows if r[1] is not None and not math.isnan(r[1])]
+    assert got == [plain([r[0] for r in rows]), plain(few), plain([float(r[2]) for r in rows if r[2] != "x"]), []]
+    # As few rows as fit in the brackets' whole range, and none at all.
+    assert boost.feature_edges(df.limit(0), ["a", "few"]) == [[], []]
+    some = [r[0] for r in df.limit(40).collect()]
+    assert boost.feature_edges(spark.createDataFrame([(v,) for v in some], "a double"), ["a"]) == [plain(some)]
+
+
+def test_stored_rows_are_cut_into_files_and_edges_found_once(spark, table, monkeypatch):
+    monkeypatch.setattr(boost, "FILE_ROWS", 20)
+    edges = boost.feature_edges(table, FEATURES)
+    assert len(boost.binned_rows(table, FEATURES, "y", edges, ["id"]).inputFiles()) >= 500 / 20
+    found = boost.search(table, FEATURES, "y", ["id"], [boost.Params(2, 1), boost.Params(2, 2)], folds=2)
+    assert found.edges == edges
+    monkeypatch.setattr(boost, "feature_edges", None)
+    assert boost.train(table, FEATURES, "y", ["id"], found.best, edges=found.edges).edges == edges
