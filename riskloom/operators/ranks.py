@@ -31,6 +31,8 @@ MARGIN = 4 / ACCURACY
 SMALL_GROUP = int(1 / MARGIN)
 # Rows of a bracket whose values one task orders.
 BRACKET_VALUES = 200_000
+# Columns with up to so many distinct values get their ranks by broadcast, others by shuffle.
+LOOKUP_VALUES = 10_000
 # Groups with brackets are broadcast up to this many, else joined by shuffle.
 BROADCAST_GROUPS = 20_000
 
@@ -257,13 +259,16 @@ def _presence_classes(rows: DataFrame, k: int) -> list[int]:
     return [next((i for i in range(j) if (i, j) in same), j) for j in range(k)]
 
 
-def spearman(df: DataFrame, cols: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def spearman(
+    df: DataFrame, cols: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE, lookup_values: int = LOOKUP_VALUES
+) -> DataFrame:
     """Rank correlation of every column pair (x before y in ``cols``), nulls dropped per pair.
 
     Each pair is ranked on the rows where both columns are present. A value's rank among them needs only the rows before
     it in which the partner is present, so every column is ordered once, with one running count for each class of partners
-    that are null in the same rows. Rows are dealt once per column, not once per pair, to fetch their ranks, and come back
-    together to be multiplied.
+    that are null in the same rows. Rows are dealt once per column with more than ``lookup_values`` distinct values, not once
+    per pair, to fetch their ranks, and come back together with their other values to be multiplied. The ranks of columns
+    with fewer distinct values are broadcast.
     """
     k = len(cols)
     numbers = [F.nullif(F.col(c).try_cast("double"), F.lit(float("nan"))).alias(f"c{i}") for i, c in enumerate(cols)]
@@ -286,15 +291,34 @@ def spearman(df: DataFrame, cols: Sequence[str], rows_per_slice: int = ROWS_PER_
         return F.struct(F.lit(p).alias("p"), F.sum(n).alias("n"), F.sum(n * r * r).alias("sq"))
 
     margins = ranked.groupBy("i").agg(F.array(*[margin(p) for p in classes]).alias("m")).select("i", F.inline("m"))
-    # One entry per column of a row.
-    fetched = long.select("_row", "i", "v").join(ranked.select("i", "v", *[f"r{p}" for p in classes]), ["i", "v"])
-    entry = F.struct("i", *[f"r{p}" for p in classes])
-    together = fetched.groupBy("_row").agg(
-        F.map_from_entries(F.collect_list(F.struct("i", entry.alias("e")))).alias("by")
-    )
-    wide = together.select(*[F.try_element_at("by", F.lit(i)).alias(f"e{i}") for i in range(k)])
+    # One number per column.
+    sizes = {r.i: r.n for r in ranked.groupBy("i").agg(F.count("*").alias("n")).collect()}
+    few = [i for i in range(k) if sizes.get(i, 0) <= lookup_values]
+    many = [i for i in range(k) if i not in few]
+    # An array: as fields, the ranks of all columns would be too many for compiled code.
+    entry = F.array(*[f"r{p}" for p in classes])
+    at = {i: classes.index(first[i]) for i in range(k)}
+    if many:
+        # One entry per column with many values of a row, and one with all its other values.
+        own = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"c{i}").alias("v")) for i in many])
+        asked = rows.select("_row", F.inline(own)).where(F.col("v").isNotNull())
+        fetched = asked.join(ranked.select("i", "v", entry.alias("e")), ["i", "v"]).select(
+            "_row", F.struct("i", "e").alias("e"), *[F.lit(None).cast("double").alias(f"c{i}") for i in few]
+        )
+        others = rows.select("_row", F.lit(None).cast(fetched.schema["e"].dataType).alias("e"), *[f"c{i}" for i in few])
+        together = fetched.unionAll(others).groupBy("_row").agg(
+            F.map_from_entries(F.collect_list("e")).alias("by"), *[F.max(f"c{i}").alias(f"c{i}") for i in few]
+        )
+        wide = together.select(
+            *[f"c{i}" for i in few], *[F.try_element_at("by", F.lit(i)).alias(f"e{i}") for i in many]
+        )
+    else:
+        wide = rows
+    for i in few:
+        looked = ranked.where(F.col("i") == i).select(F.col("v").alias(f"c{i}"), entry.alias(f"e{i}"))
+        wide = wide.join(F.broadcast(looked), f"c{i}", "left")
     pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
-    products = [F.expr(f"sum(e{i}.r{first[j]} * e{j}.r{first[i]}) AS xy{i}_{j}") for i, j in pairs]
+    products = [F.expr(f"sum(get(e{i}, {at[j]}) * get(e{j}, {at[i]})) AS xy{i}_{j}") for i, j in pairs]
     listed = ", ".join(
         f"named_struct('i', {i}, 'j', {j}, 'pi', {first[i]}, 'pj', {first[j]}, 'xy', xy{i}_{j})" for i, j in pairs
     )
