@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.ranks import exact_quantiles, long_numeric, spearman
+from riskloom.session import stored
 
 # Names left out of drift features, and the deviation that counts as spread.
 EXCLUDED_NAMES = {
@@ -59,7 +60,8 @@ def distinct_counts(
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, sample std, min, exact quartiles and max of numeric columns."""
-    rows = long_numeric(df, cols)
+    # Four passes follow; what the columns are made from is worked out once.
+    rows = long_numeric(stored(df.select(*[F.col(c).try_cast("double").alias(c) for c in cols]), "described"), cols)
     moments = rows.groupBy("feature").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),

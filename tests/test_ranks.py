@@ -157,3 +157,22 @@ def test_quantiles_on_random_data(spark):
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 5000).astype(str), "v": np.round(rng.normal(size=5000), 2)})
     for r in R.exact_quantiles(spark.createDataFrame(pdf), ["g"], "v", PROBS, 100).collect():
         assert np.allclose(r["quantiles"], np.quantile(pdf[pdf.g == r["g"]].v, PROBS), atol=1e-12)
+
+
+@pytest.mark.parametrize("lookup_values", [0, 100])
+def test_spearman_whatever_way_ranks_are_fetched(skewed, lookup_values):
+    """No column has few values, or one of three has many."""
+    df, _ = skewed
+    rows = lambda found: sorted((r.x_name, r.y_name, r.n, round(r.rho, 9)) for r in found.collect())
+    assert rows(R.spearman(df, ["v", "w", "y"], lookup_values=lookup_values)) == rows(R.spearman(df, ["v", "w", "y"]))
+
+
+def test_describe_works_out_its_columns_once(spark):
+    from riskloom.operators.profile import describe
+
+    df = spark.range(100).select((F.col("id") % 10).alias("a"), F.when(F.col("id") > 4, F.col("id")).alias("b"))
+    found = describe(df, ["a", "b"])
+    # Only what was stored is read: the source is in no later pass.
+    assert "Range (" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.column_name: (r["count"], r.min, r.p50, r.max) for r in describe(df, ["a", "b"]).collect()}
+    assert got == {"a": (100, 0.0, 4.5, 9.0), "b": (95, 5.0, 52.0, 99.0)}
