@@ -467,6 +467,19 @@ def test_fingerprints_of_messy_rows(messy, nothing, spark):
     assert fingerprints.fingerprints(one).first().near_next == 1.0
 
 
+def test_ids_alone_trace_no_bytes_and_survive_a_full_memory(monkeypatch):
+    path = queries.piece_model()
+    own = sentencepieces.Encoder(path)
+    words = [f"w{i} x{i % 7}" for i in range(200)]
+    texts = [" ".join(words[i : i + 9]) + "\n\n\u2581a  b " * (i % 3) for i in range(0, 200, 3)]
+    want = [own.library.encode(t, add_bos=True, add_eos=True) for t in texts]
+    monkeypatch.setattr(sentencepieces, "REMEMBERED", 2_000)
+    own = sentencepieces.Encoder(path)
+    monkeypatch.setattr(own, "normalise", None)
+    assert [own.ids(t).tolist() for t in texts] == want
+    assert own.words.older and len(own.words) < 40
+
+
 # --- language model ---
 
 
@@ -492,6 +505,54 @@ def test_gradients_agree_with_differences():
         assert g[name][at] == pytest.approx((ends[0] - ends[1]) / 2e-5, rel=1e-4, abs=1e-7)
 
 
+def test_inputs_that_only_give_context_are_left_out_of_the_rest_of_the_block():
+    from riskloom.llm import attention
+
+    shape = attention.Shape(window=6, overlap=2, width=5, hidden=7, groups=3, members=4, hashed=2)
+    counts = np.arange(20)[::-1].astype(np.int64)
+    vocabulary = attention.Vocabulary.of_counts(counts, shape)
+    model = {k: v.astype(np.float64) for k, v in attention.initial(shape, counts, vocabulary, 1).items()}
+    random = np.random.default_rng(0)
+    tokens, ids = random.integers(0, 14, (5, 6)), random.integers(0, 20, (5, 6))
+    whole, part = attention._block(model, tokens, shape)["y"], attention._block(model, tokens, shape, 2)["y"]
+    assert part.shape == (5, 4, 5) and part == pytest.approx(whole[:, 2:])
+    scored = np.ones((5, 6), dtype=bool)
+    scored[1:, :2] = scored[4, 4:] = False
+    assert [(list(rows), skip) for rows, skip in attention._parts(tokens, scored, shape)] == [([0], 0), ([1, 2, 3, 4], 2)]
+    loss, g = attention.gradients(model, tokens, ids, scored, vocabulary, shape)
+    # Loss from all places of all windows, one id after the other.
+    y, logs = whole[scored], []
+    for own, i in zip(y, ids[scored], strict=True):
+        k, at = vocabulary.group[i], vocabulary.member[i]
+        z = np.exp(own @ model["out"] + model["bias"])
+        logs.append(np.log(z[k] / z.sum()))
+        if k < shape.groups:
+            z = np.exp(own @ model["inner"][k] + model["inner_bias"][k])
+            logs[-1] += np.log(z[at] / z.sum())
+    assert loss == pytest.approx(-np.mean(logs))
+    for name in model:
+        at = np.unravel_index(np.argmax(np.abs(g[name])), g[name].shape)
+        kept, ends = model[name][at], []
+        for step in (1e-5, -1e-5):
+            model[name][at] = kept + step
+            ends.append(attention.gradients(model, tokens, ids, scored, vocabulary, shape)[0])
+        model[name][at] = kept
+        assert g[name][at] == pytest.approx((ends[0] - ends[1]) / 2e-5, rel=1e-4, abs=1e-7)
+
+
+def test_shares_of_scores_beyond_the_exponential():
+    from riskloom.llm import attention
+
+    for shift in (0, 500, -500):
+        z = np.array([[1, 2, 3], [3, 1, 0]], dtype=np.float32)
+        want = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+        e, total, logs = attention._shares(lambda: z + np.float32(shift), np.array([2, 1]))
+        assert logs == pytest.approx([want[0, 2], want[1, 1]], abs=1e-4)
+        assert e / total[:, None] == pytest.approx(np.exp(want), rel=1e-4)
+        z[:] = 0
+        assert attention._shares(lambda: z[:0], np.zeros(0, dtype=int))[2].size == 0
+
+
 def test_every_id_is_scored_once_and_probabilities_sum_to_one():
     from riskloom.llm import attention
 
