@@ -21,7 +21,7 @@ import math
 import random
 import sys
 from collections.abc import Iterator, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -40,6 +40,8 @@ UNIT = 1 << 24
 STORE_EVERY = 10
 # Rows of a stored file: a pass takes long for the bytes it reads, so cores are kept busy by files, not by sizes.
 FILE_ROWS = 50_000
+# The same for rows times the models that work on them.
+FILE_MARGINS = 600_000
 # Sums of this many tasks are merged at once.
 FAN_IN = 64
 # Least gain that counts as one.
@@ -74,14 +76,16 @@ class Tree:
         return cls([-1] * n, [0] * n, [0.0] * n, [0.0] * n)
 
     def leaves(self, bins: np.ndarray, levels: int) -> np.ndarray:
-        """The node that each row of bins is in after ``levels`` steps."""
-        feature, cut = np.array(self.feature), np.array(self.cut)
-        at = np.zeros(len(bins), dtype=np.int64)
-        rows = np.arange(len(bins))
-        for _ in range(levels):
-            split = feature[at]
-            right = bins[rows, np.maximum(split, 0)] > cut[at]
-            at = np.where(split < 0, at, 2 * at + 1 + right)
+        """The node that each column of bins, with a row per feature, is in after ``levels`` steps."""
+        kind = np.min_scalar_type(2 ** (levels + 1))
+        at = np.zeros(bins.shape[1], dtype=kind)
+        for i in range(2**levels - 1):
+            if self.feature[i] >= 0:
+                # From node i to 2i + 1 or 2i + 2.
+                step = (bins[self.feature[i]] > self.cut[i]).astype(kind)
+                step += kind.type(i + 1)
+                step *= at == i
+                at += step
         return at
 
 
@@ -219,10 +223,20 @@ def feature_edges(df: DataFrame, features: Sequence[str], bins: int = BINS) -> l
     return [sorted(values) for values in found]
 
 
+def _file_rows(n_models: int) -> int:
+    return max(1, min(FILE_ROWS, FILE_MARGINS // max(1, n_models)))
+
+
 def binned_rows(
-    df: DataFrame, features: Sequence[str], label: str, edges: Sequence[Sequence[float]], key: Sequence[str], fold: Column | None = None
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    edges: Sequence[Sequence[float]],
+    key: Sequence[str],
+    fold: Column | None = None,
+    n_models: int = 1,
 ) -> DataFrame:
-    """Stored: label, fold, a number drawn from the key, and the bin of every feature, one byte each."""
+    """Stored for ``n_models``: label, fold, a number drawn from the key, and the bin of every feature, one byte each."""
     edges = [np.array(e) for e in edges]
     if max((len(e) for e in edges), default=0) > 255:
         raise ValueError("at most 256 bins")
@@ -240,7 +254,7 @@ def binned_rows(
                 bins[:, i] = np.where(np.isnan(values), 0, np.searchsorted(edge, values, side="left"))
             yield batch[["y", "fold", "draw"]].assign(bins=[b.tobytes() for b in bins], margins=b"")
 
-    return stored(rows.mapInPandas(sort_in, "y double, fold int, draw long, bins binary, margins binary"), "boost-rows", FILE_ROWS)
+    return stored(rows.mapInPandas(sort_in, "y double, fold int, draw long, bins binary, margins binary"), "boost-rows", _file_rows(n_models))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -250,16 +264,22 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _parts(batches: Iterator[pd.DataFrame], n_features: int, n_models: int, rows: int = 10_000):
-    """Rows some at a time, with their bins and the stored margins of all models."""
+    """Rows some at a time, with their bins, a row per feature, and the stored margins of all models."""
     for batch in batches:
         for start in range(0, len(batch), rows):
             part = batch.iloc[start : start + rows]
             bins = np.frombuffer(b"".join(part.bins), dtype=np.uint8).reshape(len(part), n_features)
+            bins = np.ascontiguousarray(bins.T)
             held = b"".join(part.margins)
             margins = np.frombuffer(held).reshape(len(part), n_models) if held else np.zeros((len(part), n_models))
             yield part, bins, margins
 
 
+def _unstored(models: list[Model]) -> list[Model]:
+    """What tasks need of the models: the trees whose sum is not stored with the rows."""
+    return [replace(x, trees=x.trees[x.stored :], stored=0) for x in models]
+
+
 def _margin(model: Model, bins: np.ndarray, before: np.ndarray) -> np.ndarray:
     out = before.copy()
     for tree in model.trees[model.stored :]:
@@ -269,33 +289,40 @@ def _margin(model: Model, bins: np.ndarray, before: np.ndarray) -> np.ndarray:
 
 def _histograms(rows: DataFrame, models: list[Model], growing: dict[int, tuple[Tree, int, list[int]]], n_features: int, bins: int, seed: int) -> DataFrame:
     """Per task and growing model, the sums per node of its level, feature and bin."""
+    sent, turns = _unstored(models), {m: len(models[m].trees) for m in growing}
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         sums = {m: np.zeros((2, 2**level, len(cols), bins), dtype=np.int64) for m, (_, level, cols) in growing.items()}
-        for part, binned, before in _parts(batches, n_features, len(models)):
+        for part, binned, before in _parts(batches, n_features, len(sent)):
             y, fold = part.y.to_numpy(), part.fold.to_numpy()
             draw = part.draw.to_numpy().view(np.uint64)
-            drawn: dict[int, np.ndarray] = {}
+            # Models with the same fold and share of rows learn from the same rows.
+            used: dict[tuple[int, float, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
             for m, (tree, level, cols) in growing.items():
-                model = models[m]
-                t = len(model.trees)
-                use = fold != model.fold
-                if model.params.subsample < 1:
-                    if t not in drawn:
+                model = sent[m]
+                t, share = turns[m], model.params.subsample
+                rows_of = (model.fold, share, t if share < 1 else 0)
+                if rows_of not in used:
+                    use = fold != model.fold
+                    if share < 1:
                         with np.errstate(over="ignore"):
-                            drawn[t] = _mixed(draw ^ _mixed(np.array([(seed << 20) + t + 1], dtype=np.uint64))) / 2.0**64
-                    use &= drawn[t] < model.params.subsample
-                node = tree.leaves(binned, level) - (2**level - 1)
-                # Rows in a leaf of an earlier level are done.
-                use = np.flatnonzero(use & (node >= 0))
-                p = 1 / (1 + np.exp(-_margin(model, binned[use], before[use, m])))
-                g = np.rint((p - y[use]) * UNIT)
+                            use &= _mixed(draw ^ _mixed(np.array([(seed << 20) + t + 1], dtype=np.uint64))) / 2.0**64 < share
+                    use = np.flatnonzero(use)
+                    used[rows_of] = use, y[use], np.ascontiguousarray(binned[:, use])
+                use, own_y, own = used[rows_of]
+                p = 1 / (1 + np.exp(-_margin(model, own, before[use, m])))
+                g = np.rint((p - own_y) * UNIT)
                 h = np.rint(p * (1 - p) * UNIT)
-                base, size = node[use] * bins, 2**level * bins
+                node = tree.leaves(own, level).astype(np.int64) - (2**level - 1)
+                base, size = node * bins, 2**level * bins
+                if len(node) and node.min() < 0:
+                    # Rows in a leaf of an earlier level are done.
+                    open_rows = np.flatnonzero(node >= 0)
+                    base, g, h, own = base[open_rows], g[open_rows], h[open_rows], own[:, open_rows]
                 for c, f in enumerate(cols):
-                    cell = base + binned[use, f]
+                    cell = base + own[f]
                     for k, weights in enumerate((g, h)):
                         sums[m][k, :, c] += np.bincount(cell, weights, size).astype(np.int64).reshape(-1, bins)
         task = TaskContext.get().partitionId()
@@ -373,12 +400,14 @@ def _splits_of_level(rows: DataFrame, models: list[Model], growing: dict, n_feat
 def _with_margins(rows: DataFrame, models: list[Model], keep: list[int], n_features: int) -> DataFrame:
     """Stored again, with the margins of the kept models after all their trees."""
 
+    sent = _unstored(models)
+
     def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part, binned, before in _parts(batches, n_features, len(models)):
-            now = np.stack([_margin(models[m], binned, before[:, m]) for m in keep], axis=1)
+        for part, binned, before in _parts(batches, n_features, len(sent)):
+            now = np.stack([_margin(sent[m], binned, before[:, m]) for m in keep], axis=1)
             yield part.assign(margins=[x.tobytes() for x in np.ascontiguousarray(now)])
 
-    return stored(rows.mapInPandas(move, rows.schema), "boost-rows", FILE_ROWS)
+    return stored(rows.mapInPandas(move, rows.schema), "boost-rows", _file_rows(len(keep)))
 
 
 def grow(
@@ -438,12 +467,14 @@ def train(
 def held_out_scores(rows: DataFrame, models: list[Model], names: list[int], n_features: int) -> DataFrame:
     """Stored ``candidate``, ``fold``, ``y``, ``score``: every row under the models that did not learn from it."""
 
+    sent = _unstored(models)
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part, binned, before in _parts(batches, n_features, len(models)):
+        for part, binned, before in _parts(batches, n_features, len(sent)):
             fold, y = part.fold.to_numpy(), part.y.to_numpy()
-            for m, model in enumerate(models):
+            for m, model in enumerate(sent):
                 own = np.flatnonzero(fold == model.fold)
-                margin = _margin(model, binned[own], before[own, m])
+                margin = _margin(model, binned[:, own], before[own, m])
                 yield pd.DataFrame({"candidate": names[m], "fold": model.fold, "y": y[own], "score": margin})
 
     return stored(rows.mapInPandas(read, "candidate int, fold int, y double, score double"), "boost-scores")
@@ -483,7 +514,7 @@ def search(
     edges = feature_edges(df, features, bins)
     if fold is None:
         fold = F.pmod(F.xxhash64(F.lit("fold"), *[F.col(c).cast("string") for c in key]), F.lit(folds))
-    rows = binned_rows(df, features, label, edges, key, fold)
+    rows = binned_rows(df, features, label, edges, key, fold, len(candidates) * folds)
     alive = list(range(len(candidates)))
     models = [Model(candidates[c], k) for c in alive for k in range(folds)]
     reached: dict[int, tuple[int, float]] = {}

@@ -9,6 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import boost
+from riskloom.operators import model as M
+from riskloom.workload import training
+from riskloom.workload.registry import QUERIES
 
 FEATURES = ["a", "b", "c"]
 
@@ -169,3 +172,50 @@ def test_stored_rows_are_cut_into_files_and_edges_found_once(spark, table, monke
     assert found.edges == edges
     monkeypatch.setattr(boost, "feature_edges", None)
     assert boost.train(table, FEATURES, "y", ["id"], found.best, edges=found.edges).edges == edges
+
+
+def test_registered_search_gives_every_point_all_its_trees_in_every_fold(spark, monkeypatch):
+    draw = random.Random(7)
+    rows = [(f"l{i}", f"c{i}", "train" if i % 4 else "test", draw.gauss(0, 1), i) for i in range(120)]
+    rows = spark.createDataFrame([(*r[:4], int(r[3] + draw.gauss(0, 1) > 0)) for r in rows], "loan_id string, Customer_ID string, split string, Annual_Income double, label int")
+    rows = rows.withColumn("snapshot_date", F.lit("1997-01-01").cast("date"))
+    monkeypatch.setattr(training, "_rows", lambda spark, sf: rows)
+    whole, space = training.M.random_search, {"n_estimators": [2, 3], "max_depth": [1], "learning_rate": [0.1, 0.3]}
+    asked, compared = [], []
+
+    def small(*args, **options):
+        asked.append(options)
+        return whole(*args, **{**options, "space": space, "n": 4})
+
+    def compare(rows, models, names, n_features, scores=boost.held_out_scores):
+        compared.append(sorted((c, m.fold, len(m.trees) == m.params.n_estimators) for c, m in zip(names, models, strict=True)))
+        return scores(rows, models, names, n_features)
+
+    monkeypatch.setattr(training.M, "random_search", small)
+    monkeypatch.setattr(boost, "held_out_scores", compare)
+    assert QUERIES["m2_random_search"].run(spark, "").count() == 2
+    # One comparison, of all points and folds with all their trees; draws, folds and space are those of the original.
+    assert compared == [[(c, k, True) for c in range(4) for k in range(3)]]
+    assert asked == [{}] and (M.SEARCH_DRAWS, M.FOLDS) == (100, 3)
+
+
+def test_leaves_are_those_of_a_walk_row_by_row():
+    draw = np.random.default_rng(2)
+    tree = boost.Tree.empty(4)
+    for i in range(15):
+        if i == 0 or tree.feature[(i - 1) // 2] >= 0 and draw.random() < 0.8:
+            tree.feature[i], tree.cut[i] = int(draw.integers(3)), int(draw.integers(30))
+    bins = draw.integers(0, 32, (200, 3)).astype(np.uint8)
+    for levels in range(5):
+        got = tree.leaves(np.ascontiguousarray(bins.T), levels)
+        for row, end in zip(bins, got, strict=True):
+            at = 0
+            for _ in range(levels):
+                at = at if tree.feature[at] < 0 else 2 * at + 1 + int(row[tree.feature[at]] > tree.cut[at])
+            assert at == end
+
+
+def test_files_are_smaller_for_many_models(spark, table, monkeypatch):
+    monkeypatch.setattr(boost, "FILE_MARGINS", 200)
+    edges = boost.feature_edges(table, FEATURES)
+    assert len(boost.binned_rows(table, FEATURES, "y", edges, ["id"], n_models=10).inputFiles()) >= 500 / 20
