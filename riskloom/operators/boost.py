@@ -37,7 +37,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BINS = 32
 UNIT = 1 << 24
-STORE_EVERY = 10
+STORE_EVERY = 20
 # Rows of a stored file: a pass takes long for the bytes it reads, so cores are kept busy by files, not by sizes.
 FILE_ROWS = 50_000
 # The same for rows times the models that work on them.
@@ -441,7 +441,8 @@ def grow(
                     active.add(m)
         for m in open_models:
             models[m].trees.append(trees[m])
-        if any(len(x.trees) - x.stored >= STORE_EVERY for x in models):
+        more = any(len(x.trees) < min(rounds, x.params.n_estimators) for x in models)
+        if more and any(len(x.trees) - x.stored >= STORE_EVERY for x in models):
             rows = _with_margins(rows, models, list(range(len(models))), n_features)
             for x in models:
                 x.stored = len(x.trees)

@@ -219,3 +219,16 @@ def test_files_are_smaller_for_many_models(spark, table, monkeypatch):
     monkeypatch.setattr(boost, "FILE_MARGINS", 200)
     edges = boost.feature_edges(table, FEATURES)
     assert len(boost.binned_rows(table, FEATURES, "y", edges, ["id"], n_models=10).inputFiles()) >= 500 / 20
+
+
+def test_trees_do_not_depend_on_how_often_sums_are_stored(table, monkeypatch):
+    params, moved = boost.Params(5, 2, 0.3, subsample=0.8), []
+    one = boost.train(table, FEATURES, "y", ["id"], params)
+    kept = boost._with_margins
+    monkeypatch.setattr(boost, "_with_margins", lambda *a: moved.append(1) or kept(*a))
+    for every, times in ((2, 2), (5, 0)):
+        monkeypatch.setattr(boost, "STORE_EVERY", every)
+        moved.clear()
+        assert boost.train(table, FEATURES, "y", ["id"], params) == one
+        # Nothing is stored after the last tree.
+        assert len(moved) == times
