@@ -391,6 +391,8 @@ def _splits_of_level(rows: DataFrame, models: list[Model], growing: dict, n_feat
 
     schema = "feature int, cut int, gain double, g double, h double, left_g double, left_h double, model int, node int"
     found: dict[int, list] = {}
+    # Few bytes that take long to work on: a number of tasks that is asked for is not reduced for small sums.
+    sums = sums.repartition(min(len(growing), rows.sparkSession.sparkContext.defaultParallelism), "model")
     # Some numbers per model and node.
     for r in sums.groupBy("model").applyInPandas(choose, schema).collect():
         found.setdefault(r.model, []).append(r)
